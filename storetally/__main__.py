@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from storetally.plans.pipeline import LOADERS, run_pipeline
+from storetally.plans.pipeline import LOADERS, build_flat, run_flat, run_pipeline
 from storetally.session import build_session
 
 
@@ -13,15 +13,25 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="storetally", description="Retail sales analysis")
     parser.add_argument("--input-path", required=True, help="folder with fact chunks and master data")
     parser.add_argument("--output-path", required=True, help="folder for the results")
-    parser.add_argument("--layout", choices=sorted(LOADERS), default="chunks", help="how the fact is stored")
+    parser.add_argument(
+        "--job",
+        choices=["star", "flatten", "flat"],
+        default="star",
+        help="analyse star tables, join them to a flat table, or analyse a flat table",
+    )
+    parser.add_argument("--layout", choices=sorted(LOADERS), default="chunks", help="how the star fact is stored")
     parser.add_argument("--window", default="1 month", help="length of the time windows")
     args = parser.parse_args(argv)
 
     spark = build_session()
     try:
-        summary = run_pipeline(spark, args.input_path, args.output_path, args.layout, args.window)
-        print(f"Results saved to: {args.output_path}")
-        print(json.dumps(summary["basic_statistics"], indent=2, default=str))
+        if args.job == "flatten":
+            result = build_flat(spark, args.input_path, args.output_path)
+        elif args.job == "flat":
+            result = run_flat(spark, args.input_path, args.output_path, args.window)
+        else:
+            result = run_pipeline(spark, args.input_path, args.output_path, args.layout, args.window)
+        print(json.dumps(result, indent=2, default=str))
     finally:
         spark.stop()
 

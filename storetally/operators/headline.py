@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storetally.functions.money import cents, ratio_or_zero
-from storetally.operators.rollup import add_up, average, customer_presence, revenue, store_totals
+from storetally.operators.rollup import add_up, average, revenue, totals
 
 
 def basic_stats(
@@ -23,10 +23,9 @@ def basic_stats(
     priced = sales.select(
         "store_id", cents(amount).alias("cents"), *([F.to_date(date).alias("day")] if date else [])
     )
-    totals = add_up(
-        store_totals(priced, [], spans),
-        customer_presence(sales, []),
-        [],
+    stats = add_up(
+        priced.groupBy("store_id").agg(*totals(), *spans),
+        sales.select("customer_id").distinct(),
         extra=[F.min("date_from").alias("date_from"), F.max("date_to").alias("date_to")] if date else [],
     )
     columns = [
@@ -43,7 +42,7 @@ def basic_stats(
             ratio_or_zero(revenue(), F.col("customers")).alias("revenue_per_customer"),
             ratio_or_zero(F.col("row_count"), F.col("stores")).alias("transactions_per_store"),
         ]
-    return totals.select(*columns)
+    return stats.select(*columns)
 
 
 def mini_stats(sales: DataFrame, amount: str = "total_amount") -> DataFrame:

@@ -6,22 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storetally.functions.money import cents
-from storetally.operators.rollup import add_up, average, customer_presence, revenue, store_totals, totals
+from storetally.operators.rollup import add_up, average, revenue, totals
 
 PLACE = ["region", "state"]
 
 
 def regional_flat(sales: DataFrame, amount: str = "transaction_total") -> DataFrame:
     """Revenue, mean, stores and customers per region and state of a flat table."""
-    priced = sales.select(*PLACE, "store_id", cents(amount).alias("cents"))
     return (
-        add_up(store_totals(priced, PLACE), customer_presence(sales, PLACE), PLACE)
+        sales.select(*PLACE, "store_id", "customer_id", cents(amount).alias("cents"))
+        .groupBy(*PLACE)
+        .agg(
+            *totals(),
+            F.countDistinct("store_id").alias("store_count"),
+            F.countDistinct("customer_id").alias("customer_count"),
+        )
         .select(
             *PLACE,
             revenue().alias("total_revenue"),
             average().alias("avg_transaction_value"),
-            F.col("stores").alias("store_count"),
-            F.col("customers").alias("customer_count"),
+            "store_count",
+            "customer_count",
         )
         .orderBy("region", F.desc("total_revenue"))
     )
@@ -30,21 +35,24 @@ def regional_flat(sales: DataFrame, amount: str = "transaction_total") -> DataFr
 def regional_star(sales: DataFrame, stores: DataFrame, amount: str = "total_amount") -> DataFrame:
     """The same from fact and stores; sales of unknown stores form a NULL group.
 
-    The fact is totalled per store before the join, so the join sees one row per
-    store; the customer side meets the stores as distinct (store, customer)
-    pairs only when they are not broadcast. No join hint: Spark broadcasts the
-    stores if their size is below its threshold and else sorts and merges, where
-    AQE splits a hot store. `store_id` must be unique in `stores`
-    (`sources.check_unique`).
+    `store_id` must be unique in `stores` (`sources.check_unique`). The fact
+    carries one number per place, the place's smallest store, instead of two
+    strings through the distinct count; region and state are joined to the
+    result. Amounts are totalled per store before they meet the stores. No join
+    is hinted: Spark broadcasts the stores if their size is below its threshold
+    and else sorts and merges, where AQE splits a hot store.
     """
-    places = stores.select("store_id", *PLACE)
-    per_store = store_totals(sales.select("store_id", cents(amount).alias("cents")), [])
+    places = stores.groupBy(*PLACE).agg(F.min("store_id").alias("place"))
+    known = stores.alias("s").join(
+        places.alias("p"),
+        F.col("s.region").eqNullSafe(F.col("p.region")) & F.col("s.state").eqNullSafe(F.col("p.state")),
+    )
+    placed = known.select("store_id", "place")
+    per_store = sales.select("store_id", cents(amount).alias("cents")).groupBy("store_id").agg(*totals())
+    customers = sales.select("store_id", "customer_id").join(placed, "store_id", "left").drop("store_id").distinct()
     return (
-        add_up(
-            per_store.join(places, "store_id", "left"),
-            customer_presence(sales.select("store_id", "customer_id").join(places, "store_id", "left"), PLACE),
-            PLACE,
-        )
+        add_up(per_store.join(placed, "store_id", "left"), customers, ["place"])
+        .join(places, "place", "left")
         .select(
             *PLACE,
             revenue().alias("total_revenue"),

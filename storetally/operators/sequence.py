@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARE = 1000
+SHARE = 100_000
 PIECES = 4096
 
 
 def heavy_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> DataFrame:
-    """Keys with at least `min_rows` rows and more than 1/1000 of all rows.
+    """Keys with at least `min_rows` rows and more than 1/100000 of all rows.
 
-    Fewer than 1000 keys can hold that share each, whatever the size of the
+    Fewer than 100000 keys can hold that share each, whatever the size of the
     table, so the result may always be broadcast. Counts combine on the map
     side, and being exact they are the same each time they are evaluated.
     """
@@ -34,26 +34,27 @@ def item_sequence(
 
     `spread_by` is a number that never falls along `order_by`. Most transactions
     are numbered by `row_number`. One that holds a large share of the table
-    would sort in a single task; it is cut along `spread_by` into pieces of equal
-    width, each piece is numbered by itself and the sizes of the pieces before it
-    are added. Where no key is heavy AQE drops that branch.
+    would be sorted in a single task; it is cut along `spread_by` into pieces of
+    equal width, each piece is numbered by itself and the sizes of the pieces
+    before it are added. Where no key is heavy AQE drops that branch. Lines
+    without a key get no number.
     """
     heavy = F.broadcast(heavy_keys(items, key, min_rows))
-    usual = items.join(heavy, key, "left_anti").withColumn(
-        "item_sequence", F.row_number().over(Window.partitionBy(key).orderBy(*order_by)).cast("bigint")
-    )
+    # The second expression spreads lines without a key over all tasks.
+    transaction = Window.partitionBy(key, F.when(F.col(key).isNull(), F.xxhash64(*order_by)))
+    number = F.row_number().over(transaction.orderBy(*order_by)).cast("bigint")
+    usual = items.join(heavy, key, "left_anti").withColumn("item_sequence", F.when(F.col(key).isNotNull(), number))
 
     large = items.join(heavy, key, "left_semi").withColumn("spread", spread_by.cast("double"))
-    # As many rows as heavy keys, below 1000.
+    # One row per heavy key.
     ranges = large.groupBy(key).agg(F.min("spread").alias("low"), F.max("spread").alias("high"))
     cut = (
         large.join(F.broadcast(ranges), key)
-        .withColumn(
-            "piece",
-            F.coalesce(F.width_bucket("spread", "low", "high", F.lit(PIECES)), F.lit(0).cast("bigint")),
-        )
+        # NULL where all lines have the same spread.
+        .withColumn("piece", F.coalesce(F.width_bucket("spread", "low", "high", F.lit(PIECES)), F.lit(0)))
         .drop("spread", "low", "high")
     )
+    # At most PIECES + 2 rows per key reach this window.
     before = Window.partitionBy(key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(key, "piece")

@@ -20,19 +20,20 @@ from storetally.operators.regions import regional_by_store, regional_flat, regio
 from storetally.operators.segments import sales_by_segment
 from storetally.operators.sequence import item_sequence
 from storetally.operators.trends import sales_by_date, sales_by_time
-from storetally.plans.pipeline import save_analyses
+from storetally.plans.pipeline import run_pipeline
 from storetally.plans.testdata import (
     TEST_PREMIUM,
     event_sales,
     flat_sales,
     priced_lines,
+    products,
     star_sales,
     stores,
     table,
 )
 from storetally.session import run_folder
 from storetally.sinks.facts import save_chunks, save_partitioned
-from storetally.sinks.results import run_metrics
+from storetally.sinks.results import run_metrics, save_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -236,19 +237,42 @@ def partitioned_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def saved(name: str) -> Query:
-    """One result of the pipeline, read back from its files."""
-
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sales = star_sales(spark, sf_dir, "segments")
-        paths = save_analyses(sales, stores(spark, sf_dir), run_folder(spark, "pipeline"))
-        return spark.read.parquet(paths[name])
-
-    return query
-
-
 def saved_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(saved("customer_segments")(spark, sf_dir), transaction_stddev=2, revenue_share=6)
+    shares = sales_by_segment(star_sales(spark, sf_dir, "segments"), share=True)
+    path = save_result(shares, run_folder(spark, "saved"), "customer_segments")
+    return _rounded(spark.read.parquet(path), transaction_stddev=2, revenue_share=6)
+
+
+def saved_segments_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segments = sales_by_segment(star_sales(spark, sf_dir, "segments"))
+    path = save_result(segments, run_folder(spark, "saved"), "customer_segments")
+    return spark.read.schema(segments.schema).json(f"{path}_summary.json")
+
+
+def saved_time_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trend = monthly_sales_growth(spark, sf_dir).withColumn("window_date", F.to_date("window_start"))
+    path = save_result(trend, run_folder(spark, "saved"), "time_series", ["window_date"])
+    return spark.read.parquet(path)
+
+
+def pipeline_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pipeline on model tables written from the test tables."""
+    folder = run_folder(spark, "pipeline")
+    save_chunks(star_sales(spark, sf_dir, "segments"), f"{folder}/input")
+    stores(spark, sf_dir).write.parquet(f"{folder}/input/stores_master.parquet")
+    products(spark, sf_dir).write.parquet(f"{folder}/input/products_master.parquet")
+    run_pipeline(spark, f"{folder}/input", f"{folder}/output")
+    summary = spark.read.json(f"{folder}/output/analysis_summary.json")
+    return summary.select(
+        "transaction_count",
+        "master_data.*",
+        *[
+            f"basic_statistics.{name}"
+            for name in ("total_revenue", "avg_transaction_value", "unique_customers", "active_stores")
+        ],
+        F.to_date("basic_statistics.date_from").alias("date_from"),
+        F.to_date("basic_statistics.date_to").alias("date_to"),
+    )
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "chunked_fact": chunked_fact,
     "partitioned_fact": partitioned_fact,
     "saved_segments": saved_segments,
-    "saved_regions": saved("regional_analysis"),
-    "saved_time_series": saved("time_series"),
+    "saved_segments_json": saved_segments_json,
+    "saved_time_series": saved_time_series,
+    "pipeline_statistics": pipeline_statistics,
 }

@@ -224,8 +224,14 @@ ORACLE: dict[str, str] = {
                {CUSTOMERS} AS unique_customers
         FROM sales GROUP BY 1, 2"""),
     "saved_segments": with_sales(SEGMENT_SHARE),
-    "saved_regions": with_sales(REGION_STAR),
+    "saved_segments_json": with_sales(f"SELECT {SEGMENT} FROM sales GROUP BY customer_segment"),
     "saved_time_series": f"""
         SELECT *, CAST(window_start AS DATE) AS window_date
         FROM ({with_sales(windows(MONTH, f"{MONTH} + INTERVAL 1 MONTH", STAR_WINDOW, growth=True))})""",
+    "pipeline_statistics": with_sales(f"""
+        SELECT COUNT(*) AS transaction_count, (SELECT COUNT(*) FROM supplier) AS stores_count,
+               (SELECT COUNT(*) FROM part) AS products_count, {TOTALS}, {MEAN},
+               {CUSTOMERS} AS unique_customers, COUNT(DISTINCT store_id) AS active_stores,
+               CAST(MIN(ts) AS DATE) AS date_from, CAST(MAX(ts) AS DATE) AS date_to
+        FROM sales"""),
 }

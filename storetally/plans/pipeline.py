@@ -1,4 +1,4 @@
-"""The batch pipeline: load, analyse, save, summarise."""
+"""Batch jobs: load, analyse, save, summarise."""
 
 from __future__ import annotations
 
@@ -8,10 +8,14 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storetally.operators.cohorts import customer_cohorts
+from storetally.operators.flatten import FLAT_COLUMNS, flatten
 from storetally.operators.headline import basic_stats, first_row
-from storetally.operators.regions import regional_star
+from storetally.operators.products import product_performance
+from storetally.operators.regions import regional_flat, regional_star
 from storetally.operators.segments import sales_by_segment
-from storetally.operators.trends import sales_by_time
+from storetally.operators.trends import sales_by_date, sales_by_time
+from storetally.sinks.facts import save_chunks
 from storetally.sinks.results import run_metrics, save_result
 from storetally.sources import parquet
 
@@ -34,11 +38,10 @@ def run_pipeline(
     """
     transactions = LOADERS[layout](spark, input_path)
     stores = parquet.load_stores(spark, input_path)
-    products = parquet.load_products(spark, input_path)
     # A repeated store would multiply its sales.
     master_data = {
         "stores_count": parquet.check_unique(stores, "store_id"),
-        "products_count": products.count(),
+        "products_count": parquet.load_products(spark, input_path).count(),
     }
     paths = save_analyses(transactions, stores, output_path, window)
 
@@ -53,7 +56,7 @@ def run_pipeline(
 def save_analyses(
     transactions: DataFrame, stores: DataFrame, output_path: str, window: str = "1 month"
 ) -> dict[str, str]:
-    """Writes the four analyses; returns their paths by name."""
+    """Writes the four analyses of the star tables; returns their paths by name."""
     trend = sales_by_time(transactions, window, growth=True).withColumn("window_date", F.to_date("window_start"))
     return {
         "basic_stats": save_result(basic_stats(transactions, date="date", ratios=True), output_path, "basic_stats"),
@@ -83,3 +86,39 @@ def summary_row(
         F.struct(*stats.columns).alias("basic_statistics"),
         F.struct(*[F.lit(path).alias(name) for name, path in paths.items()]).alias("analysis_results"),
     )
+
+
+def flat_analyses(sales: DataFrame, window: str = "1 month") -> dict[str, DataFrame]:
+    """The six analyses of the flat table by name."""
+    return {
+        "basic_stats": basic_stats(sales, "transaction_total"),
+        "sales_by_segment": sales_by_segment(sales, "transaction_total"),
+        "product_performance": product_performance(sales),
+        "regional_analysis": regional_flat(sales),
+        "time_series": sales_by_date(sales, window),
+        "customer_cohorts": customer_cohorts(sales),
+    }
+
+
+def run_flat(spark: SparkSession, input_path: str, output_path: str, window: str = "1 month") -> dict[str, str]:
+    """Analyses flat chunks below `input_path`; returns the result paths by name."""
+    sales = parquet.load_chunks(spark, input_path, "flat")
+    return {
+        name: save_result(result, output_path, name) for name, result in flat_analyses(sales, window).items()
+    }
+
+
+def build_flat(spark: SparkSession, input_path: str, output_path: str) -> str:
+    """Joins the star tables below `input_path` to flat chunks below `output_path`."""
+    stores = parquet.load_stores(spark, input_path)
+    products = parquet.load_products(spark, input_path)
+    # A repeated store or product would multiply its sales.
+    parquet.check_unique(stores, "store_id")
+    parquet.check_unique(products, "sku")
+    header = parquet.load_chunks(spark, input_path).select(
+        "transaction_id", "store_id", "customer_id", "customer_segment", "timestamp"
+    )
+    items = parquet.load_chunks(spark, input_path, "items").select(
+        "transaction_id", "sku", "quantity", "unit_price", "line_total"
+    )
+    return save_chunks(flatten(items, header, products, stores).select(*FLAT_COLUMNS), output_path)

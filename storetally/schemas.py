@@ -94,3 +94,19 @@ FLAT = declared(
     transaction_total="double",
     transaction_date="timestamp",
 )
+
+# Columns the analyses cannot do without; the others may be absent.
+REQUIRED = {
+    "stores": ["store_id", "region", "state"],
+    "products": ["sku", "category"],
+    "transactions": ["store_id", "customer_id", "customer_segment", "timestamp", "date", "total_amount"],
+    "items": ["transaction_id", "sku", "quantity", "unit_price", "line_total"],
+    "flat": ["customer_id", "store_id", "transaction_total"],
+}
+DECLARED = {
+    "stores": STORES,
+    "products": PRODUCTS,
+    "transactions": TRANSACTIONS,
+    "items": ITEMS,
+    "flat": FLAT,
+}

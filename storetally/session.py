@@ -34,10 +34,12 @@ def build_session(app_name: str = "storetally", **extra: str) -> SparkSession:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A new folder path for one run, below the folder the cluster shares.
 
-    The shared folder is `spark.checkpoint.dir`. Only where that is unset (local
-    runs, tests) a temporary folder of this machine takes its place.
+    The shared folder is `spark.checkpoint.dir`. Only a local session may leave
+    it unset; a temporary folder of this machine takes its place then.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = os.path.join(tempfile.gettempdir(), "storetally")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

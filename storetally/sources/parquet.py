@@ -1,109 +1,119 @@
 """Parquet readers.
 
-Nothing is cached by default: a cache holds whole rows and so defeats column
-pruning. `keep` caches chosen columns where several analyses share them.
+`table` names the declared schema: transactions, flat, items, stores, products.
+Nothing is cached by default, for a cache holds whole rows and so defeats column
+pruning; `keep` caches chosen columns where several analyses share them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType, TimestampType
-
-from storetally import schemas
-
-CHUNKS = "transactions_chunk_*.parquet"
-ITEM_CHUNKS = "transaction_items_chunk_*.parquet"
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from storetally.schemas import DECLARED, REQUIRED
+
+# Names of the files.
+CHUNKS = {
+    "transactions": "transactions_chunk_*.parquet",
+    "flat": "transactions_chunk_*.parquet",
+    "items": "transaction_items_chunk_*.parquet",
+}
+MASTERS = {"stores": "stores_master.parquet", "products": "products_master.parquet"}
+
+SMALL_INTEGERS = (ByteType, ShortType, IntegerType)
+WIDENS = {
+    LongType: SMALL_INTEGERS,
+    DoubleType: (*SMALL_INTEGERS, FloatType, DecimalType),
+    StringType: (*SMALL_INTEGERS, LongType),
+    TimestampType: (TimestampNTZType,),
+}
 
 
 class SchemaMismatch(ValueError):
-    """A file lacks declared columns or holds another type."""
+    """A table lacks required columns or holds another type than declared."""
 
 
-def load_chunks(
-    spark: SparkSession, path: str, schema: StructType = schemas.TRANSACTIONS, pattern: str = CHUNKS
-) -> DataFrame:
+def load_chunks(spark: SparkSession, path: str, table: str = "transactions") -> DataFrame:
     """Chunks right below `path`, each a file or a folder as Spark writes it."""
-    return conform(spark.read.parquet(f"{path.rstrip('/')}/{pattern}"), schema)
+    return conform(spark.read.parquet(f"{path.rstrip('/')}/{CHUNKS[table]}"), table)
 
 
-def load_filtered(
-    spark: SparkSession, path: str, schema: StructType = schemas.TRANSACTIONS, pattern: str = CHUNKS
-) -> DataFrame:
+def load_filtered(spark: SparkSession, path: str, table: str = "transactions") -> DataFrame:
     """Chunk files of one folder by name filter, without schema merging.
 
     The filter tests file names; for chunks that are folders use `load_chunks`.
     """
-    reader = spark.read.option("mergeSchema", "false").option("pathGlobFilter", pattern)
-    return conform(reader.parquet(path), schema)
+    reader = spark.read.option("mergeSchema", "false").option("pathGlobFilter", CHUNKS[table])
+    return conform(reader.parquet(path), table)
 
 
-def load_recursive(
-    spark: SparkSession, path: str, schema: StructType = schemas.TRANSACTIONS, pattern: str = CHUNKS
-) -> DataFrame:
+def load_recursive(spark: SparkSession, path: str, table: str = "transactions") -> DataFrame:
     """Chunk files at any depth below `path`.
 
     The name filter keeps store, product and item files of the same tree out.
-    Small files are grouped by `spark.sql.files.maxPartitionBytes`.
+    Small files share a task (`spark.sql.files.maxPartitionBytes`).
     """
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    return conform(reader.parquet(path), schema)
-
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", CHUNKS[table])
+    return conform(reader.parquet(path), table)
 
-def load_items(spark: SparkSession, path: str) -> DataFrame:
-    return load_chunks(spark, path, schemas.ITEMS, ITEM_CHUNKS)
 
-
-def load_partitioned(spark: SparkSession, path: str, schema: StructType = schemas.TRANSACTIONS) -> DataFrame:
-    """Fact written by `sinks.save_partitioned`; filters on year and month prune folders."""
-    return conform(spark.read.parquet(path), schema)
+def load_partitioned(spark: SparkSession, path: str, table: str = "transactions") -> DataFrame:
+    """Fact partitioned in folders; filters on year and month skip folders."""
+    return conform(spark.read.parquet(path), table)
 
 
 def load_stores(spark: SparkSession, path: str) -> DataFrame:
-    return conform(spark.read.parquet(f"{path.rstrip('/')}/stores_master.parquet"), schemas.STORES)
+    return conform(spark.read.parquet(f"{path.rstrip('/')}/{MASTERS['stores']}"), "stores")
 
 
 def load_products(spark: SparkSession, path: str) -> DataFrame:
-    return conform(spark.read.parquet(f"{path.rstrip('/')}/products_master.parquet"), schemas.PRODUCTS)
+    return conform(spark.read.parquet(f"{path.rstrip('/')}/{MASTERS['products']}"), "products")
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Declared columns in declared types; raises if that would change values.
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """Declared columns in declared types, further columns as they are.
 
-    Numbers and timestamps may be widened. BIGINT where a timestamp is declared
-    holds nanoseconds (`spark.sql.legacy.parquet.nanosAsLong`).
+    Raises if a required column is absent or a type could not be widened without
+    changing values. BIGINT where a timestamp is declared holds nanoseconds
+    (`spark.sql.legacy.parquet.nanosAsLong`).
     """
-    missing = [name for name in schema.names if name not in df.columns]
+    missing = [name for name in REQUIRED[table] if name not in df.columns]
     if missing:
-        raise SchemaMismatch(f"missing columns: {', '.join(missing)}")
-    return df.select(*[_column(df.schema[field.name], field) for field in schema])
-
-
-def _column(found: StructField, declared: StructField):
-    column = F.col(f"`{found.name}`")
-    have, want = found.dataType, declared.dataType
-    if have == want:
+        raise SchemaMismatch(f"{table}: missing columns {', '.join(missing)}")
+    declared = {field.name: field.dataType for field in DECLARED[table]}
+    return df.select(
+        *[
+            as_declared(field.name, field.dataType, declared.get(field.name, field.dataType)).alias(field.name)
+            for field in df.schema
+        ]
+    )
+
+
+def as_declared(name: str, found: DataType, declared: DataType) -> Column:
+    column = F.col(f"`{name}`")
+    if found == declared:
         return column
-    if isinstance(want, TimestampType) and isinstance(have, LongType):
-        return F.timestamp_micros(F.expr(f"`{found.name}` div 1000")).alias(found.name)
-    if isinstance(want, TimestampType) and isinstance(have, TimestampNTZType):
-        return column.cast(want).alias(found.name)
-    if have.simpleString() in WIDENS_TO.get(want.simpleString(), ()) or have.simpleString().startswith(
-        WIDENS_FROM_DECIMAL.get(want.simpleString(), "-")
-    ):
-        return column.cast(want).alias(found.name)
-    raise SchemaMismatch(f"column {found.name}: {have.simpleString()} where {want.simpleString()} is declared")
-
-
-WIDENS_TO = {
-    "bigint": ("tinyint", "smallint", "int"),
-    "double": ("tinyint", "smallint", "int", "float"),
-    "string": ("tinyint", "smallint", "int", "bigint"),
-    "date": ("timestamp", "timestamp_ntz"),
-}
-WIDENS_FROM_DECIMAL = {"double": "decimal("}
+    if isinstance(declared, TimestampType) and isinstance(found, LongType):
+        # Whole-number division: `/` would go through DOUBLE.
+        return F.timestamp_micros(F.expr(f"`{name}` div 1000"))
+    if isinstance(found, WIDENS.get(type(declared), ())):
+        return column.cast(declared)
+    raise SchemaMismatch(f"{name}: {found.simpleString()} where {declared.simpleString()} is declared")
 
 
 def check_unique(df: DataFrame, key: str) -> int:
@@ -115,5 +125,5 @@ def check_unique(df: DataFrame, key: str) -> int:
 
 
 def keep(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Cache the given columns for several analyses; release with `unpersist()`."""
+    """Caches the given columns for several analyses; release with `unpersist()`."""
     return df.select(*columns).persist()
