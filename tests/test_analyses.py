@@ -1,0 +1,233 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import rows, sales, stores, ts
+from storetally.operators.cohorts import customer_cohorts
+from storetally.operators.headline import basic_stats, first_row, mini_stats
+from storetally.operators.products import product_performance
+from storetally.operators.regions import regional_by_store, regional_flat, regional_star
+from storetally.operators.segments import sales_by_segment
+from storetally.operators.trends import sales_by_date, sales_by_time
+
+NOV_KEYS = ["total_transactions", "total_revenue", "avg_transaction_value", "unique_customers", "active_stores"]
+
+
+def test_basic_stats_skip_missing_values(spark):
+    stats = first_row(basic_stats(sales(spark), date="timestamp", ratios=True))
+    assert list(stats) == NOV_KEYS + ["date_from", "date_to", "revenue_per_customer", "transactions_per_store"]
+    assert stats["total_transactions"] == 7
+    assert stats["total_revenue"] == 212.95
+    assert stats["avg_transaction_value"] == 212.95 / 6
+    assert stats["unique_customers"] == 3
+    assert stats["active_stores"] == 4
+    assert (stats["date_from"], stats["date_to"]) == (dt.date(2024, 1, 15), dt.date(2024, 5, 1))
+    assert stats["revenue_per_customer"] == 212.95 / 3
+    assert stats["transactions_per_store"] == 7 / 4
+
+
+def test_basic_stats_of_nothing(spark):
+    stats = first_row(basic_stats(sales(spark, []), date="timestamp", ratios=True))
+    assert stats["total_transactions"] == 0
+    assert stats["total_revenue"] is None and stats["avg_transaction_value"] is None
+    assert stats["unique_customers"] == 0 and stats["active_stores"] == 0
+    assert stats["revenue_per_customer"] == 0 and stats["transactions_per_store"] == 0
+    assert stats["date_from"] is None
+
+
+def test_basic_stats_without_amounts(spark):
+    only_null = [(1, 1, "A_1", "S", ts("2024-01-01 00:00:00"), None)]
+    stats = first_row(basic_stats(sales(spark, only_null), ratios=True))
+    assert stats["total_revenue"] is None and stats["revenue_per_customer"] is None
+    assert stats["transactions_per_store"] == 1.0
+
+
+def test_mini_stats(spark):
+    assert list(first_row(mini_stats(sales(spark))).values()) == [7, 212.95, 212.95 / 6]
+
+
+def test_decimal_amounts(spark):
+    exact = sales(spark).withColumn("total_amount", F.col("total_amount").cast("decimal(12,2)"))
+    assert first_row(basic_stats(exact))["total_revenue"] == 212.95
+
+
+def test_segments(spark):
+    found = rows(sales_by_segment(sales(spark), share=True))
+    assert [row["customer_segment"] for row in found] == [
+        "Professional Contractor",
+        "DIY Homeowner",
+        "Property Manager",
+    ]
+    assert [row["unique_customers"] for row in found] == [1, 2, 1]
+    assert [row["transaction_count"] for row in found] == [1, 5, 1]
+    assert found[0]["transaction_stddev"] is None
+    assert sum(row["revenue_share"] for row in found) == pytest.approx(1)
+    assert "revenue_share" not in sales_by_segment(sales(spark)).columns
+
+
+def test_share_of_zero_revenue(spark):
+    free = sales(spark, [(1, 1, "A_1", "S", ts("2024-01-01 00:00:00"), 0.0)])
+    assert rows(sales_by_segment(free, share=True))[0]["revenue_share"] is None
+
+
+def test_products(spark):
+    frame = spark.createDataFrame(
+        [("Primers", 1, 2, 1.50, 3.00), ("Primers", 1, 1, 2.51, 2.51), ("Tools", 2, 4, None, 8.00)],
+        "product_category string, store_id bigint, quantity bigint, unit_price double, transaction_total double",
+    )
+    assert rows(product_performance(frame)) == [
+        {
+            "product_category": "Tools",
+            "total_units_sold": 4,
+            "total_revenue": 8.0,
+            "avg_unit_price": None,
+            "stores_selling": 1,
+        },
+        {
+            "product_category": "Primers",
+            "total_units_sold": 3,
+            "total_revenue": 5.51,
+            "avg_unit_price": 4.01 / 2,
+            "stores_selling": 1,
+        },
+    ]
+
+
+def test_regions_keep_unknown_stores(spark):
+    found = {(row["region"], row["state"]): row for row in rows(regional_star(sales(spark), stores(spark)))}
+    assert set(found) == {("West", "CA"), ("West", None), (None, None)}
+    assert found["West", "CA"]["store_count"] == 2 and found["West", "CA"]["customer_count"] == 2
+    assert found["West", "CA"]["transaction_count"] == 4
+    # A known store without a state is not an unknown store.
+    assert found["West", None]["total_revenue"] is None and found["West", None]["customer_count"] == 1
+    unknown = found[None, None]
+    assert unknown["transaction_count"] == 2 and unknown["total_revenue"] == 12.55
+    # One id is unknown, the other sale has none.
+    assert unknown["store_count"] == 1 and unknown["customer_count"] == 1
+
+
+def test_regions_flat_equal_star(spark):
+    flat = sales(spark).join(stores(spark), "store_id", "left").withColumnRenamed("total_amount", "transaction_total")
+    star = regional_star(sales(spark), stores(spark)).drop("transaction_count")
+    by_place = lambda frame: sorted(rows(frame), key=str)
+    assert by_place(regional_flat(flat)) == by_place(star)
+
+
+def test_by_store(spark):
+    found = {row["store_id"]: row["transaction_count"] for row in rows(regional_by_store(sales(spark)))}
+    assert found == {1: 2, 2: 2, 3: 1, 99: 1, None: 1}
+
+
+def test_growth_skips_empty_months(spark):
+    found = rows(sales_by_time(sales(spark), growth=True))
+    assert [row["window_start"].month for row in found] == [1, 2, 4, 5]
+    assert [row["window_end"].month for row in found] == [2, 3, 5, 6]
+    assert [row["total_revenue"] for row in found] == [120.10, 85.85, None, 7.0]
+    assert [row["revenue_growth"] for row in found] == [None, -34.25, None, None]
+    assert [row["unique_customers"] for row in found] == [2, 2, 1, 1]
+
+
+def test_growth_within_and_across_days(spark):
+    at = ["2024-01-01 01:00:00", "2024-01-01 07:00:00", "2024-01-01 05:59:59", "2024-01-04 00:00:00"]
+    frame = sales(spark, [(i, 1, "A_1", "S", ts(text), 10.0 * (i + 1)) for i, text in enumerate(at)])
+    found = rows(sales_by_time(frame, "6 hours", growth=True))
+    assert [(row["total_revenue"], row["revenue_growth"]) for row in found] == [
+        (40.0, None),
+        (20.0, -20.0),
+        (40.0, 20.0),
+    ]
+    assert found[2]["window_start"] == ts("2024-01-04 00:00:00")
+    daily = rows(sales_by_time(frame, "1 day", growth=True))
+    assert [(row["total_revenue"], row["revenue_growth"]) for row in daily] == [(60.0, None), (40.0, -20.0)]
+
+
+def test_date_and_time_forms_differ_below_a_day(spark):
+    frame = sales(spark, [(1, 1, "A_1", "S", ts("2024-01-03 17:30:00"), 1.0)])
+    flat = frame.withColumnsRenamed({"total_amount": "transaction_total", "timestamp": "transaction_date"})
+    assert rows(sales_by_date(flat, "6 hours"))[0]["window_start"] == ts("2024-01-03 00:00:00")
+    assert rows(sales_by_time(frame, "6 hours"))[0]["window_start"] == ts("2024-01-03 12:00:00")
+    # Fixed windows are aligned to the epoch, a Thursday.
+    assert rows(sales_by_time(frame, "7 days"))[0]["window_start"] == ts("2023-12-28 00:00:00")
+    assert rows(sales_by_time(frame, "1 week"))[0]["window_start"] == ts("2023-12-28 00:00:00")
+
+
+def test_zoned_timestamps(spark):
+    zoned = sales(spark).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    result = sales_by_time(zoned, growth=True)
+    assert dict(result.dtypes)["window_start"] == "timestamp"
+    assert [row["total_revenue"] for row in rows(result)] == [120.10, 85.85, None, 7.0]
+
+
+def test_cohorts_count_elapsed_months(spark):
+    found = rows(customer_cohorts(sales(spark), "total_amount", "timestamp"))
+    assert [(row["cohort_month"], row["month_number"], row["active_customers"], row["total_revenue"]) for row in found] == [
+        # Jan 31 -> Feb 29 is one month, Jan 15 -> Feb 14 none.
+        (ts("2024-01-01 00:00:00"), 0, 2, 150.15),
+        (ts("2024-01-01 00:00:00"), 1, 1, 50.25),
+        (ts("2024-04-01 00:00:00"), 0, 1, None),
+        (ts("2024-04-01 00:00:00"), 1, 1, 7.0),
+    ]
+
+
+def test_cohorts_equal_the_join_form(spark):
+    """The day-wise form against first purchase joined back, on random times."""
+    import random
+
+    random.seed(3)
+    start = ts("2023-11-25 00:00:00")
+    frame = sales(
+        spark,
+        [
+            (i, 1, f"C_{i % 40}", "S", start + dt.timedelta(seconds=random.randrange(140 * 86400)), i / 100)
+            for i in range(2000)
+        ],
+    )
+    first = frame.groupBy("customer_id").agg(F.min("timestamp").alias("first"))
+    joined = (
+        frame.join(first, "customer_id")
+        .groupBy(
+            F.date_trunc("month", "first").cast("timestamp_ntz").alias("cohort_month"),
+            F.floor(F.months_between("timestamp", "first")).alias("month_number"),
+        )
+        .agg(
+            F.countDistinct("customer_id").alias("active_customers"),
+            F.round(F.sum("total_amount"), 2).alias("total_revenue"),
+        )
+        .orderBy("cohort_month", "month_number")
+    )
+    assert rows(customer_cohorts(frame, "total_amount", "timestamp")) == rows(joined)
+
+
+def test_hot_customer_and_store(spark):
+    """One customer and one store hold most rows; totals stay whole."""
+    many = spark.range(30_000).select(
+        F.col("id").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(7).alias("store_id"),
+        F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise("HOT").alias("customer_id"),
+        F.lit("S").alias("customer_segment"),
+        (F.timestamp_seconds(F.col("id") * 600 + 1_700_000_000)).alias("timestamp"),
+        F.lit(0.01).alias("total_amount"),
+    )
+    stats = first_row(basic_stats(many))
+    assert (stats["total_transactions"], stats["total_revenue"]) == (30_000, 300.0)
+    assert (stats["unique_customers"], stats["active_stores"]) == (10_001, 50)
+    cohorts = rows(customer_cohorts(many, "total_amount", "timestamp"))
+    assert round(sum(row["total_revenue"] for row in cohorts), 2) == 300.0
+    assert sum(row["active_customers"] for row in cohorts if row["month_number"] == 0) == 10_001
+
+
+def test_identities(spark):
+    """Totals of the grouped analyses equal the headline."""
+    frame = sales(spark)
+    stats = first_row(basic_stats(frame))
+    grouped = [
+        sales_by_segment(frame),
+        regional_star(frame, stores(spark)),
+        regional_by_store(frame),
+        sales_by_time(frame, "3 days"),
+    ]
+    for result in grouped:
+        found = rows(result)
+        assert sum(row["transaction_count"] for row in found) == stats["total_transactions"]
+        assert round(sum(row["total_revenue"] or 0 for row in found), 2) == stats["total_revenue"]
