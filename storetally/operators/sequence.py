@@ -11,16 +11,22 @@ SHARE = 100_000
 PIECES = 4096
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = 1_000_000) -> DataFrame:
+def heavy_keys(items: DataFrame, key: str, spread_by: Column, min_rows: int = 1_000_000) -> DataFrame:
     """Keys with at least `min_rows` rows and more than 1/100000 of all rows.
 
-    Fewer than 100000 keys can hold that share each, whatever the size of the
-    table, so the result may always be broadcast. Counts combine on the map
-    side, and being exact they are the same each time they are evaluated.
+    With the lowest and highest `spread_by` of each. Fewer than 100000 keys can
+    hold that share, whatever the size of the table, so the result may always be
+    broadcast. It combines on the map side, and being exact it is the same each
+    time it is evaluated.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("key_rows"))
-    total = df.select(F.count("*")).scalar()
-    return counts.where((F.col("key_rows") >= min_rows) & (F.col("key_rows") * SHARE > total)).select(key)
+    spread = spread_by.cast("double")
+    counts = items.groupBy(key).agg(
+        F.count("*").alias("key_rows"), F.min(spread).alias("low"), F.max(spread).alias("high")
+    )
+    total = items.select(F.count("*")).scalar()
+    return counts.where(
+        F.col(key).isNotNull() & (F.col("key_rows") >= min_rows) & (F.col("key_rows") * SHARE > total)
+    ).select(key, "low", "high")
 
 
 def item_sequence(
@@ -32,40 +38,35 @@ def item_sequence(
 ) -> DataFrame:
     """Adds `item_sequence`, 1.. within `key` in the total order `order_by`.
 
-    `spread_by` is a number that never falls along `order_by`. Most transactions
-    are numbered by `row_number`. One that holds a large share of the table
-    would be sorted in a single task; it is cut along `spread_by` into pieces of
-    equal width, each piece is numbered by itself and the sizes of the pieces
-    before it are added. Where no key is heavy AQE drops that branch. Lines
-    without a key get no number.
+    `spread_by` is a number that never falls along `order_by`. A transaction that
+    holds a large share of the table would be sorted in a single task; it is cut
+    along `spread_by` into pieces of equal width, each piece is numbered by itself
+    and the sizes of the pieces before it are added. All others are one piece.
+    Lines without a key get no number.
     """
-    heavy = F.broadcast(heavy_keys(items, key, min_rows))
-    # The second expression spreads lines without a key over all tasks.
-    transaction = Window.partitionBy(key, F.when(F.col(key).isNull(), F.xxhash64(*order_by)))
-    number = F.row_number().over(transaction.orderBy(*order_by)).cast("bigint")
-    usual = items.join(heavy, key, "left_anti").withColumn("item_sequence", F.when(F.col(key).isNotNull(), number))
-
-    large = items.join(heavy, key, "left_semi").withColumn("spread", spread_by.cast("double"))
-    # One row per heavy key.
-    ranges = large.groupBy(key).agg(F.min("spread").alias("low"), F.max("spread").alias("high"))
-    cut = (
-        large.join(F.broadcast(ranges), key)
-        # NULL where all lines have the same spread.
-        .withColumn("piece", F.coalesce(F.width_bucket("spread", "low", "high", F.lit(PIECES)), F.lit(0)))
-        .drop("spread", "low", "high")
+    heavy = F.broadcast(heavy_keys(items, key, spread_by, min_rows))
+    # width_bucket gives NULL where all lines have the same spread.
+    along = F.coalesce(F.width_bucket(spread_by.cast("double"), "low", "high", F.lit(PIECES)), F.lit(0))
+    piece = (
+        F.when(F.col("low").isNotNull(), along)
+        # Lines without a key are spread over the tasks.
+        .when(F.col(key).isNull(), F.pmod(F.xxhash64(*order_by), F.lit(PIECES)))
+        .otherwise(F.lit(0))
     )
-    # At most PIECES + 2 rows per key reach this window.
+    # At most PIECES + 2 rows per heavy key reach this window.
     before = Window.partitionBy(key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy(key, "piece")
+        items.join(heavy, key)
+        .groupBy(key, piece.alias("piece"))
         .agg(F.count("*").alias("piece_rows"))
-        .select(key, "piece", F.coalesce(F.sum("piece_rows").over(before), F.lit(0)).alias("rows_before"))
+        .select(key, "piece", F.sum("piece_rows").over(before).alias("rows_before"))
     )
     in_piece = F.row_number().over(Window.partitionBy(key, "piece").orderBy(*order_by))
-    numbered = (
-        cut.withColumn("in_piece", in_piece)
-        .join(offsets, [key, "piece"])
-        .withColumn("item_sequence", (F.col("in_piece") + F.col("rows_before")).cast("bigint"))
-        .select(*usual.columns)
+    number = F.col("in_piece") + F.coalesce("rows_before", F.lit(0))
+    return (
+        items.join(heavy, key, "left")
+        .withColumn("piece", piece)
+        .withColumn("in_piece", in_piece)
+        .join(offsets, [key, "piece"], "left")
+        .select(*items.columns, F.when(F.col(key).isNotNull(), number).alias("item_sequence"))
     )
-    return usual.unionByName(numbered)

@@ -146,8 +146,9 @@ def numbered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("quantity"),
         F.col("l_shipdate").alias("shipped"),
     )
-    # Part keys stay far below 2^40, so this number follows the line order.
-    return item_sequence(lines, LINE_ORDER, F.col("line_number") * (1 << 40) + F.col("sku"))
+    # Follows (line_number, sku) and spreads evenly over the part keys.
+    width = lines.select(F.max("sku") + 1).scalar()
+    return item_sequence(lines, LINE_ORDER, F.col("line_number") * width + F.col("sku"))
 
 
 def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,7 +75,8 @@ def line_frame(spark, shares):
 def test_sequence_of_heavy_and_usual_transactions(spark):
     frame = line_frame(spark, {1: 4000, 2: 3, 3: 1, 4: 900, None: 5}).withColumn("note", F.lit("x"))
     spread = F.col("line") * 1000 + F.col("sku")
-    assert [row[0] for row in heavy_keys(frame, "transaction_id", 800).orderBy("transaction_id").collect()] == [1, 4]
+    heavy = heavy_keys(frame, "transaction_id", spread, 800).orderBy("transaction_id")
+    assert [row["transaction_id"] for row in heavy.collect()] == [1, 4]
     by_key = {}
     for row in rows(frame):
         by_key.setdefault(row["transaction_id"], []).append((row["line"], row["sku"], row["row"]))
