@@ -27,20 +27,20 @@ def test_pricing_equals_python(spark):
             i // 5,
             i,
             random.randrange(500, 15_000) / 100,
-            random.choice(["1.15", "0.95", None]),
-            random.choice([0.05, 0.1234567, 0.25, None]),
-            random.randrange(1, 40),
+            random.choice([1.15, 0.95, 1.0125, None]),
+            random.choice([0.05, 0.123457, 0.25, None]),
+            random.choice([*range(1, 40), -2, 5_000_000]),
         )
         for i in range(500)
     ]
     frame = spark.createDataFrame(
         lines,
-        "transaction_id bigint, line bigint, base_price double, price_premium string, discount_pct double, quantity bigint",
+        "transaction_id bigint, line bigint, base_price double, price_premium double, discount_pct double, quantity bigint",
     )
     totals = {}
     expected = {}
     for transaction, line, price, premium, discount, quantity in lines:
-        listed = Decimal(str(price)) * Decimal(premium or 1)
+        listed = Decimal(str(price)) * Decimal(str(premium or 1))
         paid = listed * (1 - Decimal(str(discount or 0)))
         expected[line] = (
             half_up(paid),
