@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import BooleanType, DateType, DoubleType, LongType, StringType, StructType, TimestampType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 TYPES = {
+    "int": IntegerType(),
     "bigint": LongType(),
     "string": StringType(),
     "double": DoubleType(),
     "boolean": BooleanType(),
     "date": DateType(),
     "timestamp": TimestampType(),
+    "timestamp_ntz": TimestampNTZType(),
 }
 
 
