@@ -34,6 +34,7 @@ from storetally.plans.testdata import (
 from storetally.session import run_folder
 from storetally.sinks.facts import save_chunks, save_partitioned
 from storetally.sinks.results import run_metrics, save_result
+from storetally.sources.parquet import load_chunks, load_filtered, load_partitioned, load_recursive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,22 +219,35 @@ def flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks: written below the shared folder, read back ---------------
 
 
+SPARK_FILES = "part-*.parquet"
+
+
 def chunked_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = star_sales(spark, sf_dir, "header")
     folder = run_folder(spark, "chunks")
-    save_chunks(fact, folder)
-    written = spark.read.parquet(f"{folder}/transactions_chunk_*.parquet")
-    return written.groupBy("store_id").agg(F.count("*").alias("transaction_count"))
+    save_chunks(star_sales(spark, sf_dir, "segments"), folder)
+    return regional_by_store(load_chunks(spark, folder))
 
 
-def partitioned_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = star_sales(spark, sf_dir, "header")
+def filtered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = save_chunks(star_sales(spark, sf_dir, "segments"), run_folder(spark, "chunks"))
+    return sales_by_segment(load_filtered(spark, path, pattern=SPARK_FILES))
+
+
+def _save_by_month(spark: SparkSession, sf_dir: str) -> str:
+    sales = star_sales(spark, sf_dir, "segments")
     parts = calendar_parts(F.col("timestamp"))
-    folder = run_folder(spark, "partitioned")
-    save_partitioned(sales.withColumns({"year": parts["year"], "month": parts["month"]}), folder)
+    by_month = sales.withColumns({"year": parts["year"], "month": parts["month"]})
+    return save_partitioned(by_month, run_folder(spark, "partitioned"))
+
+
+def recursive_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_by_segment(load_recursive(spark, _save_by_month(spark, sf_dir), pattern=SPARK_FILES))
+
+
+def partitioned_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        spark.read.parquet(folder)
-        .groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"))
+        load_partitioned(spark, _save_by_month(spark, sf_dir))
+        .groupBy("year", "month")
         .agg(F.count("*").alias("transaction_count"), F.countDistinct("customer_id").alias("unique_customers"))
     )
 
@@ -317,6 +331,8 @@ QUERIES: dict[str, Query] = {
     "flat_sales": flattened,
     "run_metrics": metrics,
     "chunked_fact": chunked_fact,
+    "filtered_fact": filtered_fact,
+    "recursive_fact": recursive_fact,
     "partitioned_fact": partitioned_fact,
     "saved_segments": saved_segments,
     "saved_segments_json": saved_segments_json,

@@ -218,7 +218,11 @@ ORACLE: dict[str, str] = {
         SELECT 'TransactionsLoaded' AS metric, CAST(total_transactions AS DOUBLE) AS value, 'Count' AS unit FROM stats
         UNION ALL SELECT 'TotalRevenue', total_revenue, 'Count' FROM stats
         UNION ALL SELECT 'UniqueCustomers', CAST(unique_customers AS DOUBLE), 'Count' FROM stats"""),
-    "chunked_fact": with_sales("SELECT store_id, COUNT(*) AS transaction_count FROM sales GROUP BY store_id"),
+    "chunked_fact": with_sales(
+        f"SELECT store_id, {TOTALS}, {MEAN}, COUNT(*) AS transaction_count FROM sales GROUP BY store_id"
+    ),
+    "filtered_fact": with_sales(f"SELECT {SEGMENT} FROM sales GROUP BY customer_segment"),
+    "recursive_fact": with_sales(f"SELECT {SEGMENT} FROM sales GROUP BY customer_segment"),
     "partitioned_fact": with_sales(f"""
         SELECT CAST(YEAR(ts) AS BIGINT) AS "year", CAST(MONTH(ts) AS BIGINT) AS "month", COUNT(*) AS transaction_count,
                {CUSTOMERS} AS unique_customers

@@ -53,22 +53,27 @@ def load_chunks(spark: SparkSession, path: str, table: str = "transactions") ->
     return conform(spark.read.parquet(f"{path.rstrip('/')}/{CHUNKS[table]}"), table)
 
 
-def load_filtered(spark: SparkSession, path: str, table: str = "transactions") -> DataFrame:
+def load_filtered(
+    spark: SparkSession, path: str, table: str = "transactions", pattern: str | None = None
+) -> DataFrame:
     """Chunk files of one folder by name filter, without schema merging.
 
-    The filter tests file names; for chunks that are folders use `load_chunks`.
+    The filter tests file names. Files written by Spark are named `part-*.parquet`;
+    for chunks that are folders use `load_chunks`.
     """
-    reader = spark.read.option("mergeSchema", "false").option("pathGlobFilter", CHUNKS[table])
+    reader = spark.read.option("mergeSchema", "false").option("pathGlobFilter", pattern or CHUNKS[table])
     return conform(reader.parquet(path), table)
 
 
-def load_recursive(spark: SparkSession, path: str, table: str = "transactions") -> DataFrame:
-    """Chunk files at any depth below `path`.
+def load_recursive(
+    spark: SparkSession, path: str, table: str = "transactions", pattern: str | None = None
+) -> DataFrame:
+    """Chunk files at any depth below `path`; folder names are not columns here.
 
     The name filter keeps store, product and item files of the same tree out.
     Small files share a task (`spark.sql.files.maxPartitionBytes`).
     """
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", CHUNKS[table])
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern or CHUNKS[table])
     return conform(reader.parquet(path), table)
 
 

@@ -33,7 +33,7 @@ def settings(spark, **values):
             spark.conf.set(key, value)
 
 
-WRITING = {"chunked_fact", "partitioned_fact", "pipeline_statistics"}
+WRITING = {"chunked_fact", "filtered_fact", "recursive_fact", "partitioned_fact", "pipeline_statistics"}
 
 
 @pytest.mark.parametrize("name", sorted(n for n in spark_entry.queries() if n not in WRITING and "saved" not in n))
