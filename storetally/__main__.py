@@ -21,9 +21,17 @@ def main(argv: list[str] | None = None) -> None:
     )
     parser.add_argument("--layout", choices=sorted(LOADERS), default="chunks", help="how the star fact is stored")
     parser.add_argument("--window", default="1 month", help="length of the time windows")
+    parser.add_argument(
+        "--shuffle-partitions",
+        type=int,
+        help="shuffle partitions before AQE merges small ones; about the shuffled bytes / 128 MB",
+    )
     args = parser.parse_args(argv)
 
-    spark = build_session()
+    sizing = {}
+    if args.shuffle_partitions:
+        sizing["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(args.shuffle_partitions)
+    spark = build_session(**sizing)
     try:
         if args.job == "flatten":
             result = build_flat(spark, args.input_path, args.output_path)

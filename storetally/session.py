@@ -24,7 +24,7 @@ SETTINGS = {
 
 
 def build_session(app_name: str = "storetally", **extra: str) -> SparkSession:
-    """Session with the settings above; `extra` holds further settings."""
+    """Session with the settings above; `extra` holds further settings by name."""
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
