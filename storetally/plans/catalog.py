@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storetally.functions.keys import customer_key, is_hazmat, product_name, sku_key
-from storetally.functions.lookups import month_seasonal, region_premium
+from storetally.functions.lookups import month_seasonal, region_premium, region_seasonal
 from storetally.functions.periods import calendar_parts
 from storetally.operators.cohorts import customer_cohorts
 from storetally.operators.flatten import FLAT_COLUMNS
@@ -23,8 +23,10 @@ from storetally.operators.trends import sales_by_date, sales_by_time
 from storetally.plans.pipeline import run_pipeline
 from storetally.plans.testdata import (
     TEST_PREMIUM,
+    TEST_SEASONAL,
     event_sales,
     flat_sales,
+    header,
     priced_lines,
     products,
     star_sales,
@@ -107,6 +109,10 @@ def events_in(window: str, growth: bool = False) -> Query:
     return query
 
 
+def events_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_by_date(event_sales(spark, sf_dir), "3 days", "total_amount", "timestamp")
+
+
 def order_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_cohorts(flat_sales(spark, sf_dir, "header"))
 
@@ -134,6 +140,12 @@ def header_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header_totals(priced_lines(spark, sf_dir))
 
 
+def header_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priced lines, totalled per transaction, analysed by segment."""
+    totals = header_totals(priced_lines(spark, sf_dir)).select("transaction_id", "total_amount")
+    return sales_by_segment(totals.join(header(spark, sf_dir, segments=True), "transaction_id"))
+
+
 LINE_ORDER = ["line_number", "sku", "store_id", "line_total", "quantity", "shipped"]
 
 
@@ -165,8 +177,13 @@ def event_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_premium(spark: SparkSession, sf_dir: str) -> DataFrame:
-    premium = region_premium(F.col("region"), TEST_PREMIUM).cast("double")
-    return stores(spark, sf_dir).select("store_id", "region", "state", premium.alias("price_premium"))
+    return stores(spark, sf_dir).select(
+        "store_id",
+        "region",
+        "state",
+        region_premium(F.col("region"), TEST_PREMIUM).cast("double").alias("price_premium"),
+        region_seasonal(F.col("region"), TEST_SEASONAL).cast("double").alias("seasonal_multiplier"),
+    )
 
 
 def seasonal_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +209,7 @@ def product_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def business_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         "c_custkey", customer_key(F.col("c_mktsegment"), F.col("c_custkey")).alias("customer_id")
     )
@@ -311,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "events_daily": events_in("1 day"),
     "events_6h": events_in("6 hours"),
     "events_7d": events_in("7 days"),
+    "events_3d_by_date": events_by_date,
     "events_daily_growth": events_in("1 day", growth=True),
     "events_6h_growth": events_in("6 hours", growth=True),
     "customer_cohorts": order_cohorts,
@@ -318,13 +336,14 @@ QUERIES: dict[str, Query] = {
     "line_pricing": line_pricing,
     "line_discount": line_discount,
     "header_rollup": header_rollup,
+    "header_segments": header_segments,
     "item_sequence": numbered_items,
     "calendar_parts": order_calendar,
     "calendar_parts_events": event_calendar,
     "region_premium": store_premium,
     "seasonal_factor": seasonal_factor,
     "product_attributes": product_attributes,
-    "customer_keys": customer_keys,
+    "business_keys": business_keys,
     "sku_keys": sku_keys,
     "dataset_profile": profile,
     "dataset_info": profile_info,

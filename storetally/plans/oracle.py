@@ -101,6 +101,12 @@ LINES = """
     JOIN nation ON s_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey
 """
+HEADERS = f"""
+    SELECT transaction_id, CAST(ROUND(exact, 2) AS DOUBLE) AS subtotal,
+           CAST(ROUND(exact * CAST(0.08 AS DECIMAL(3,2)), 2) AS DOUBLE) AS tax_amount,
+           CAST(ROUND(exact * CAST(1.08 AS DECIMAL(3,2)), 2) AS DOUBLE) AS total_amount
+    FROM (SELECT transaction_id, CAST(SUM(list_price * kept * qty) AS DECIMAL(32,14)) AS exact
+          FROM ({LINES}) GROUP BY transaction_id)"""
 LINE_KEYS = "transaction_id, line_number, sku, store_id, quantity"
 
 
@@ -147,6 +153,7 @@ ORACLE: dict[str, str] = {
     "events_daily": with_events(windows(*bucket("1 day"), STAR_WINDOW)),
     "events_6h": with_events(windows(*bucket("6 hours"), STAR_WINDOW)),
     "events_7d": with_events(windows(*bucket("7 days"), STAR_WINDOW)),
+    "events_3d_by_date": with_events(windows(*bucket("3 days"), FLAT_WINDOW)),
     "events_daily_growth": with_events(windows(*bucket("1 day"), STAR_WINDOW, growth=True)),
     "events_6h_growth": with_events(windows(*bucket("6 hours"), STAR_WINDOW, growth=True)),
     "customer_cohorts": f"WITH sales AS ({SALES}) {COHORTS}",
@@ -159,12 +166,13 @@ ORACLE: dict[str, str] = {
         SELECT {LINE_KEYS},
                CAST(ROUND(list_price - list_price * kept, 2) * qty AS DOUBLE) AS discount_amount
         FROM ({LINES})""",
-    "header_rollup": f"""
-        SELECT transaction_id, CAST(ROUND(exact, 2) AS DOUBLE) AS subtotal,
-               CAST(ROUND(exact * CAST(0.08 AS DECIMAL(3,2)), 2) AS DOUBLE) AS tax_amount,
-               CAST(ROUND(exact * CAST(1.08 AS DECIMAL(3,2)), 2) AS DOUBLE) AS total_amount
-        FROM (SELECT transaction_id, CAST(SUM(list_price * kept * qty) AS DECIMAL(32,14)) AS exact
-              FROM ({LINES}) GROUP BY transaction_id)""",
+    "header_rollup": HEADERS,
+    "header_segments": f"""
+        WITH sales AS (
+            SELECT CAST(total_amount AS DECIMAL(12,2)) AS amount, o_custkey AS customer_id,
+                   c_mktsegment AS customer_segment
+            FROM ({HEADERS}) JOIN orders ON transaction_id = o_orderkey JOIN customer ON o_custkey = c_custkey)
+        SELECT {SEGMENT} FROM sales GROUP BY customer_segment""",
     "item_sequence": """
         SELECT l_orderkey AS transaction_id, CAST(l_linenumber AS BIGINT) AS line_number, l_partkey AS sku,
                l_suppkey AS store_id, l_extendedprice AS line_total, l_quantity AS quantity,
@@ -177,7 +185,9 @@ ORACLE: dict[str, str] = {
     "region_premium": """
         SELECT s_suppkey AS store_id, r_name AS region, n_name AS state,
                CASE r_name WHEN 'AMERICA' THEN 1.15::DOUBLE WHEN 'EUROPE' THEN 1.25::DOUBLE
-                           WHEN 'ASIA' THEN 0.95::DOUBLE END AS price_premium
+                           WHEN 'ASIA' THEN 0.95::DOUBLE END AS price_premium,
+               CASE r_name WHEN 'AMERICA' THEN 0.6::DOUBLE WHEN 'EUROPE' THEN 0.7::DOUBLE END
+                 AS seasonal_multiplier
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "seasonal_factor": """
         SELECT o_orderkey, CAST(MONTH(o_orderdate) AS BIGINT) AS "month",
@@ -195,7 +205,7 @@ ORACLE: dict[str, str] = {
                     SPLIT_PART(p_name, ' ', 2), CAST(p_size AS VARCHAR))) AS product_name,
                p_type IN ('PROMO', 'SMALL') AS is_hazmat
         FROM part""",
-    "customer_keys": """
+    "business_keys": """
         SELECT c_custkey, UPPER(SUBSTR(c_mktsegment, 1, 3)) || '_' || FORMAT('{:08d}', c_custkey) AS customer_id
         FROM customer""",
     "sku_keys": "SELECT p_partkey, 'P' || CAST(p_partkey AS VARCHAR) AS sku FROM part",

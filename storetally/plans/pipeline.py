@@ -15,6 +15,7 @@ from storetally.operators.products import product_performance
 from storetally.operators.regions import regional_flat, regional_star
 from storetally.operators.segments import sales_by_segment
 from storetally.operators.trends import sales_by_date, sales_by_time
+from storetally.schemas import REQUIRED
 from storetally.sinks.facts import save_chunks
 from storetally.sinks.results import run_metrics, save_result
 from storetally.sources import parquet
@@ -28,15 +29,23 @@ LOADERS = {
 
 
 def run_pipeline(
-    spark: SparkSession, input_path: str, output_path: str, layout: str = "chunks", window: str = "1 month"
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    layout: str = "chunks",
+    window: str = "1 month",
+    cache: bool = False,
 ) -> dict[str, Any]:
     """Reads fact and dimensions below `input_path`, writes results below `output_path`.
 
     Returns the summary that is also written to `analysis_summary.json`. Every
     analysis is evaluated once, by its own write, and reads only its columns of
-    the fact; only one-row statistics come to the driver.
+    the fact; only one-row statistics come to the driver. `cache` keeps the
+    columns they need in memory, for a fact that fits there.
     """
     transactions = LOADERS[layout](spark, input_path)
+    if cache:
+        transactions = parquet.keep(transactions, REQUIRED["transactions"])
     stores = parquet.load_stores(spark, input_path)
     # A repeated store would multiply its sales.
     master_data = {
@@ -44,6 +53,8 @@ def run_pipeline(
         "products_count": parquet.load_products(spark, input_path).count(),
     }
     paths = save_analyses(transactions, stores, output_path, window)
+    if cache:
+        transactions.unpersist()
 
     stats = spark.read.parquet(paths["basic_stats"])
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

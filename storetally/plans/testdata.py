@@ -137,8 +137,9 @@ def event_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Stand-in premiums for the regions of the test tables; others count as 1.
+# Stand-in factors for the regions of the test tables; the others have none.
 TEST_PREMIUM = {"AMERICA": "1.15", "EUROPE": "1.25", "ASIA": "0.95"}
+TEST_SEASONAL = {"AMERICA": "0.6", "EUROPE": "0.7"}
 
 
 def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,7 +199,7 @@ def test_pipeline(spark, star, tmp_path):
     metrics = spark.read.parquet(str(tmp_path / "run_metrics"))
     assert metrics.columns == ["metric", "value", "unit", "ts"] and metrics.count() == 3
     for layout in ("filtered", "recursive"):
-        again = run_pipeline(spark, str(star), str(tmp_path / layout), layout)
+        again = run_pipeline(spark, str(star), str(tmp_path / layout), layout, cache=layout == "filtered")
         assert again["basic_statistics"] == summary["basic_statistics"]
 
 
