@@ -42,8 +42,10 @@ def regional_star(sales: DataFrame, stores: DataFrame, amount: str = "total_amou
     is hinted: Spark broadcasts the stores if their size is below its threshold
     and else sorts and merges, where AQE splits a hot store.
     """
-    places = stores.groupBy(*PLACE).agg(F.min("store_id").alias("place"))
-    known = stores.alias("s").join(
+    # Stores with neither region nor state belong to the NULL group, too.
+    named = stores.where(F.col("region").isNotNull() | F.col("state").isNotNull())
+    places = named.groupBy(*PLACE).agg(F.min("store_id").alias("place"))
+    known = named.alias("s").join(
         places.alias("p"),
         F.col("s.region").eqNullSafe(F.col("p.region")) & F.col("s.state").eqNullSafe(F.col("p.state")),
     )

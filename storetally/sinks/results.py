@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 # Fixed value: results below this many rows get a JSON copy.
 JSON_ROWS = 1000
 
+# Names of the metrics and where they come from.
+METRICS = {
+    "TransactionsLoaded": "total_transactions",
+    "TotalRevenue": "total_revenue",
+    "UniqueCustomers": "unique_customers",
+}
+
 
 def save_result(
     result: DataFrame,
@@ -43,21 +50,12 @@ def is_small(df: DataFrame, rows: int = JSON_ROWS) -> bool:
 
 def run_metrics(stats: DataFrame) -> DataFrame:
     """Headline statistics as (metric, value, unit) rows."""
-    return stats.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(metric).alias("metric"), F.col(column).cast("double").alias("value"), F.lit("Count").alias("unit"))
-                    for metric, column in METRICS.items()
-                ]
-            )
+    metrics = [
+        F.struct(
+            F.lit(metric).alias("metric"),
+            F.col(column).cast("double").alias("value"),
+            F.lit("Count").alias("unit"),
         )
-    )
-
-
-# Names of the metrics and where they come from.
-METRICS = {
-    "TransactionsLoaded": "total_transactions",
-    "TotalRevenue": "total_revenue",
-    "UniqueCustomers": "unique_customers",
-}
+        for metric, column in METRICS.items()
+    ]
+    return stats.select(F.inline(F.array(*metrics)))

@@ -28,7 +28,7 @@ SALES_ROWS = [
     (7, None, "DIY_3", "DIY Homeowner", ts("2024-05-01 00:00:00"), 7.00),
 ]
 
-STORES = [(1, "West", "CA"), (2, "West", "CA"), (3, "West", None), (4, "Midwest", "OH")]
+STORES = [(1, "West", "CA"), (2, "West", "CA"), (3, "West", None), (4, "Midwest", "OH"), (5, None, None)]
 
 
 def sales(spark, rows=None):

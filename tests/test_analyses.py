@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import rows, sales, stores, ts
+from fixtures import SALES_ROWS, rows, sales, stores, ts
 from storetally.operators.cohorts import customer_cohorts
 from storetally.operators.headline import basic_stats, first_row, mini_stats
 from storetally.operators.products import product_performance
@@ -108,8 +108,11 @@ def test_regions_keep_unknown_stores(spark):
 
 
 def test_regions_flat_equal_star(spark):
-    flat = sales(spark).join(stores(spark), "store_id", "left").withColumnRenamed("total_amount", "transaction_total")
-    star = regional_star(sales(spark), stores(spark)).drop("transaction_count")
+    # A store without region and state joins the unknown stores.
+    fact = sales(spark, [*SALES_ROWS, (8, 5, "DIY_9", "DIY Homeowner", ts("2024-05-02 00:00:00"), 1.0)])
+    flat = fact.join(stores(spark), "store_id", "left").withColumnRenamed("total_amount", "transaction_total")
+    star = regional_star(fact, stores(spark)).drop("transaction_count")
+    assert star.count() == 3
     by_place = lambda frame: sorted(rows(frame), key=str)
     assert by_place(regional_flat(flat)) == by_place(star)
 

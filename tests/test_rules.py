@@ -119,7 +119,9 @@ def test_keys_and_names(spark):
         "PRO_1234567890",
     ]
     assert frame.select(sku_key(F.col("number"))).first()[0] == "P7"
-    parts = spark.createDataFrame([("Premium", "Primers", "", "Flat", "Quart")], "b string, c string, d string, e string, f string")
+    parts = spark.createDataFrame(
+        [("Premium", "Primers", "", "Flat", "Quart")], "b string, c string, d string, e string, f string"
+    )
     name, hazmat = parts.select(product_name(*[F.col(c) for c in "bcdef"]), is_hazmat(F.col("c"))).first()
     assert name == "Premium Primers  Flat Quart" and hazmat is True
 
@@ -130,13 +132,18 @@ def test_flatten_keeps_lines_of_unknown_products_and_stores(spark):
         "transaction_id bigint, sku string, quantity bigint, unit_price double, line_total double",
     )
     header = spark.sql(
-        """SELECT * FROM VALUES (1L, 10L, 'C1', 'S', timestamp_ntz'2024-01-01'), (2L, 77L, 'C2', 'S', timestamp_ntz'2024-01-02')
+        """SELECT * FROM VALUES
+            (1L, 10L, 'C1', 'S', timestamp_ntz'2024-01-01'),
+            (2L, 77L, 'C2', 'S', timestamp_ntz'2024-01-02')
         AS t(transaction_id, store_id, customer_id, customer_segment, timestamp)"""
     )
     products = spark.createDataFrame([("P1", "Primers")], "sku string, category string")
     stores = spark.createDataFrame([(10, "West", "CA")], "store_id bigint, region string, state string")
     flat = flatten(items, header, products, stores).select(*FLAT_COLUMNS)
-    found = sorted((row["customer_id"], row["product_category"] or "", row["state"] or "", row["transaction_total"]) for row in rows(flat))
+    found = sorted(
+        (row["customer_id"], row["product_category"] or "", row["state"] or "", row["transaction_total"])
+        for row in rows(flat)
+    )
     assert found == [("C1", "", "CA", 2.0), ("C1", "Primers", "CA", 3.0), ("C2", "Primers", "", 1.5)]
 
 
