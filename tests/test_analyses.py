@@ -145,6 +145,29 @@ def test_growth_within_and_across_days(spark):
     assert [(row["total_revenue"], row["revenue_growth"]) for row in daily] == [(60.0, None), (40.0, -20.0)]
 
 
+@pytest.mark.parametrize("window", ["15 minutes", "5 hours", "23 hours", "2 days", "2 months"])
+def test_growth_equals_a_lag_over_all_windows(spark, window):
+    import random
+
+    random.seed(window)
+    start = ts("2023-12-30 00:00:00")
+    frame = sales(
+        spark,
+        [
+            # Sparse: many days and windows stay empty; some windows have no amount at all.
+            (i, 1, "A_1", "S", start + dt.timedelta(seconds=random.randrange(90) ** 2 * 1000), random.choice([i / 4, None]))
+            for i in range(300)
+        ],
+    )
+    found = rows(sales_by_time(frame, window, growth=True))
+    expected = [None] + [
+        None if a["total_revenue"] is None or b["total_revenue"] is None else b["total_revenue"] - a["total_revenue"]
+        for a, b in zip(found, found[1:])
+    ]
+    assert len(found) > 2
+    assert [row["revenue_growth"] for row in found] == expected
+
+
 def test_date_and_time_forms_differ_below_a_day(spark):
     frame = sales(spark, [(1, 1, "A_1", "S", ts("2024-01-03 17:30:00"), 1.0)])
     flat = frame.withColumnsRenamed({"total_amount": "transaction_total", "timestamp": "transaction_date"})
