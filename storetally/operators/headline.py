@@ -8,26 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storetally.functions.money import cents, ratio_or_zero
-from storetally.operators.rollup import add_up, average, revenue, totals
+from storetally.operators.rollup import add_up, average, in_one_pass, revenue, totals
 
 
 def basic_stats(
-    sales: DataFrame, amount: str = "total_amount", date: str | None = None, ratios: bool = False
+    sales: DataFrame,
+    amount: str = "total_amount",
+    date: str | None = None,
+    ratios: bool = False,
+    one_pass: bool = False,
 ) -> DataFrame:
     """Counts, revenue, mean, distinct customers and stores.
 
     `date` adds `date_from` and `date_to`, `ratios` adds `revenue_per_customer`
-    and `transactions_per_store` (0 where the count is 0).
+    and `transactions_per_store` (0 where the count is 0). Set `one_pass` where
+    `sales` is a join rather than a table, so that it is evaluated once.
     """
+    days = [F.to_date(date).alias("day")] if date else []
     spans = [F.min("day").alias("date_from"), F.max("day").alias("date_to")] if date else []
-    priced = sales.select(
-        "store_id", cents(amount).alias("cents"), *([F.to_date(date).alias("day")] if date else [])
-    )
-    stats = add_up(
-        priced.groupBy("store_id").agg(*totals(), *spans),
-        sales.select("customer_id").distinct(),
-        extra=[F.min("date_from").alias("date_from"), F.max("date_to").alias("date_to")] if date else [],
-    )
+    priced = sales.select("store_id", "customer_id", cents(amount).alias("cents"), *days)
+    if one_pass:
+        stats = in_one_pass(priced, extra=spans)
+    else:
+        stats = add_up(
+            priced.groupBy("store_id").agg(*totals(), *spans),
+            priced.select("customer_id").distinct(),
+            extra=[F.min("date_from").alias("date_from"), F.max("date_to").alias("date_to")] if date else [],
+        )
     columns = [
         F.col("row_count").alias("total_transactions"),
         revenue().alias("total_revenue"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storetally.functions.money import cents
-from storetally.operators.rollup import add_up, average, revenue, totals
+from storetally.operators.rollup import average, in_one_pass, revenue, totals
 
 PLACE = ["region", "state"]
 
@@ -14,19 +14,13 @@ PLACE = ["region", "state"]
 def regional_flat(sales: DataFrame, amount: str = "transaction_total") -> DataFrame:
     """Revenue, mean, stores and customers per region and state of a flat table."""
     return (
-        sales.select(*PLACE, "store_id", "customer_id", cents(amount).alias("cents"))
-        .groupBy(*PLACE)
-        .agg(
-            *totals(),
-            F.countDistinct("store_id").alias("store_count"),
-            F.countDistinct("customer_id").alias("customer_count"),
-        )
+        in_one_pass(sales.select(*PLACE, "store_id", "customer_id", cents(amount).alias("cents")), PLACE)
         .select(
             *PLACE,
             revenue().alias("total_revenue"),
             average().alias("avg_transaction_value"),
-            "store_count",
-            "customer_count",
+            F.col("stores").alias("store_count"),
+            F.col("customers").alias("customer_count"),
         )
         .orderBy("region", F.desc("total_revenue"))
     )
@@ -37,10 +31,9 @@ def regional_star(sales: DataFrame, stores: DataFrame, amount: str = "total_amou
 
     `store_id` must be unique in `stores` (`sources.check_unique`). The fact
     carries one number per place, the place's smallest store, instead of two
-    strings through the distinct count; region and state are joined to the
-    result. Amounts are totalled per store before they meet the stores. No join
-    is hinted: Spark broadcasts the stores if their size is below its threshold
-    and else sorts and merges, where AQE splits a hot store.
+    strings through the distinct counts; region and state are joined to the
+    result. No join is hinted: Spark broadcasts the stores if their size is below
+    its threshold and else sorts and merges, where AQE splits a hot store.
     """
     # Stores with neither region nor state belong to the NULL group, too.
     named = stores.where(F.col("region").isNotNull() | F.col("state").isNotNull())
@@ -49,11 +42,11 @@ def regional_star(sales: DataFrame, stores: DataFrame, amount: str = "total_amou
         places.alias("p"),
         F.col("s.region").eqNullSafe(F.col("p.region")) & F.col("s.state").eqNullSafe(F.col("p.state")),
     )
-    placed = known.select("store_id", "place")
-    per_store = sales.select("store_id", cents(amount).alias("cents")).groupBy("store_id").agg(*totals())
-    customers = sales.select("store_id", "customer_id").join(placed, "store_id", "left").drop("store_id").distinct()
+    placed = sales.select("store_id", "customer_id", cents(amount).alias("cents")).join(
+        known.select("store_id", "place"), "store_id", "left"
+    )
     return (
-        add_up(per_store.join(placed, "store_id", "left"), customers, ["place"])
+        in_one_pass(placed, ["place"])
         .join(places, "place", "left")
         .select(
             *PLACE,

@@ -50,15 +50,15 @@ def _rounded(df: DataFrame, **digits: int) -> DataFrame:
 
 
 def basic_stats_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return basic_stats(flat_sales(spark, sf_dir, "header"), "transaction_total")
+    return basic_stats(flat_sales(spark, sf_dir, "header"), "transaction_total", one_pass=True)
 
 
 def basic_stats_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return basic_stats(star_sales(spark, sf_dir, "header"), date="date", ratios=True)
+    return basic_stats(star_sales(spark, sf_dir, "header"), date="date", ratios=True, one_pass=True)
 
 
 def basic_stats_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return basic_stats(star_sales(spark, sf_dir, "header"), ratios=True)
+    return basic_stats(star_sales(spark, sf_dir, "header"), ratios=True, one_pass=True)
 
 
 def mini_stats_star(spark: SparkSession, sf_dir: str) -> DataFrame:

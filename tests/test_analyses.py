@@ -11,12 +11,16 @@ from storetally.operators.regions import regional_by_store, regional_flat, regio
 from storetally.operators.segments import sales_by_segment
 from storetally.operators.trends import sales_by_date, sales_by_time
 
-NOV_KEYS = ["total_transactions", "total_revenue", "avg_transaction_value", "unique_customers", "active_stores"]
+HEADLINE = ["total_transactions", "total_revenue", "avg_transaction_value", "unique_customers", "active_stores"]
 
 
-def test_basic_stats_skip_missing_values(spark):
-    stats = first_row(basic_stats(sales(spark), date="timestamp", ratios=True))
-    assert list(stats) == NOV_KEYS + ["date_from", "date_to", "revenue_per_customer", "transactions_per_store"]
+BOTH_FORMS = pytest.mark.parametrize("one_pass", [False, True])
+
+
+@BOTH_FORMS
+def test_basic_stats_skip_missing_values(spark, one_pass):
+    stats = first_row(basic_stats(sales(spark), date="timestamp", ratios=True, one_pass=one_pass))
+    assert list(stats) == HEADLINE + ["date_from", "date_to", "revenue_per_customer", "transactions_per_store"]
     assert stats["total_transactions"] == 7
     assert stats["total_revenue"] == 212.95
     assert stats["avg_transaction_value"] == 212.95 / 6
@@ -27,8 +31,9 @@ def test_basic_stats_skip_missing_values(spark):
     assert stats["transactions_per_store"] == 7 / 4
 
 
-def test_basic_stats_of_nothing(spark):
-    stats = first_row(basic_stats(sales(spark, []), date="timestamp", ratios=True))
+@BOTH_FORMS
+def test_basic_stats_of_nothing(spark, one_pass):
+    stats = first_row(basic_stats(sales(spark, []), date="timestamp", ratios=True, one_pass=one_pass))
     assert stats["total_transactions"] == 0
     assert stats["total_revenue"] is None and stats["avg_transaction_value"] is None
     assert stats["unique_customers"] == 0 and stats["active_stores"] == 0
@@ -95,7 +100,8 @@ def test_products(spark):
 
 
 def test_regions_keep_unknown_stores(spark):
-    found = {(row["region"], row["state"]): row for row in rows(regional_star(sales(spark), stores(spark)))}
+    result = rows(regional_star(sales(spark), stores(spark)))
+    found = {(row["region"], row["state"]): row for row in result}
     assert set(found) == {("West", "CA"), ("West", None), (None, None)}
     assert found["West", "CA"]["store_count"] == 2 and found["West", "CA"]["customer_count"] == 2
     assert found["West", "CA"]["transaction_count"] == 4
