@@ -5,9 +5,8 @@ import pytest
 import __spark_entry__ as spark_entry
 from conftest import SF_DIR
 from compare import compare, open_tables
-
-ORACLE = spark_entry.oracle_sql()
-QUERIES = spark_entry.queries()
+from storetally.plans.catalog import QUERIES
+from storetally.plans.oracle import ORACLE
 
 
 @pytest.fixture(scope="module")
