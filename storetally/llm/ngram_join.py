@@ -33,15 +33,18 @@ from pyspark.sql import functions as F
 
 from storetally.llm.components import components
 from storetally.llm.texts import (
+    fresh,
     mix,
     shared_checkpoint,
     shingle_hashes,
     signed,
     slices,
     sorted_groups,
+    table,
     word_hashes,
 )
 
+_WORD = r"[^\x20\x09-\x0D]"
 DIMENSIONS = 48
 FANOUT = 12
 # A cell of the join holds about so many texts and shingles.
@@ -422,10 +425,25 @@ def ngram_join(
     )
 
 
+def drop_near_copies(
+    docs: DataFrame, numerator: int = 80, denominator: int = 100, size: int = 5, text: str = "text"
+) -> DataFrame:
+    """One row of `docs` of each component, with the same columns: the least doc_id, and of its rows one text.
+
+    Rows without shingles stay, each of them. So do all rows of a component
+    that has no doc_id but NULL, except for repeated texts.
+    """
+    joined = ngram_join(docs, numerator, denominator, size, text)
+    kept = joined.filter("n_shingles > 0 AND doc_id <=> component_id").select("doc_id").distinct()
+    mark = fresh(docs, "kept_id")
+    least = docs.join(kept.withColumnRenamed("doc_id", mark), docs["doc_id"].eqNullSafe(F.col(mark)), "left_semi")
+    least = least.filter(F.col(text).rlike(_WORD)).dropDuplicates(["doc_id", text])
+    blank = docs.filter(~F.coalesce(F.col(text).rlike(_WORD), F.lit(False)))
+    return least.union(blank)
+
+
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity 0.9, over all of `documents`."""
-    from storetally.llm.texts import table
-
     return ngram_join(table(spark, sf_dir, "documents"), 90, 100, size=3)
 
 

@@ -6,20 +6,24 @@ A word, and a run of words (shingle), is known by a 64-bit hash.
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 SLICE_BYTES = 1 << 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
-_SOLID = np.ones(256, dtype=bool)
-_SOLID[[32, *range(9, 14)]] = False
+# Bytes that words are made of: all but white space; or letters, digits and bytes beyond ASCII.
+NOT_SPACE = np.ones(256, dtype=bool)
+NOT_SPACE[[32, *range(9, 14)]] = False
+LETTERS = np.array([chr(b).isalnum() or b > 127 for b in range(256)])
 _TERM = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TERM[65:91] = _TERM[97:123]
-_TERM[~_SOLID] = 0
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _PLACE = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,12 +62,14 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
         row = stop
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_SPACE
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each text the index of its first word (one more at the end)."""
     size = len(data)
     if not size:
         return np.empty(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
-    solid = _SOLID[data]
+    solid = kind[data]
     edge = np.zeros(size + 1, dtype=bool)
     edge[offsets] = True
     before = np.empty(size, dtype=bool)
@@ -138,23 +144,53 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.Table.from_batches(held)
 
 
+def fresh(frame: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `frame` has it."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_checkpoint(frame: DataFrame) -> DataFrame:
-    """`frame` computed once and kept in the cluster's shared folder, so that no later stage repeats it.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that the cluster shares: `spark.checkpoint.dir`.
 
-    The folder is `spark.checkpoint.dir`; a session of a cluster must name it. A
-    local session without it gets one of its own below the working folder.
+    A session of a cluster must name it. A local session without it gets one
+    below its working folder.
     """
-    spark = frame.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return "spark-warehouse/checkpoints"
+
+
+def shared_checkpoint(frame: DataFrame) -> DataFrame:
+    """`frame` computed once and kept in the shared folder, so that no later stage repeats it."""
+    context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = "spark-warehouse/checkpoints"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint(eager=True)
+
+
+def shared_table(frame: DataFrame, label: str) -> DataFrame:
+    """Like `shared_checkpoint`, for larger data: written as Parquet and read again; removed when Python ends."""
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    atexit.register(remove, spark, path)
+    return spark.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of intermediate data, if the session still runs."""
+    try:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    except (Py4JError, ConnectionError, AttributeError, TypeError):
+        return
