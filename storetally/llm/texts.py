@@ -63,9 +63,12 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_SPACE
+    data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_SPACE, prefix: int = 0
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and for each text the index of its first word (one more at the end)."""
+    """Hashes of all words in order, and for each text the index of its first word (one more at the end).
+
+    With a `prefix`, only the first so many bytes of a longer word count.
+    """
     size = len(data)
     if not size:
         return np.empty(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
@@ -80,6 +83,8 @@ def word_hashes(
     after[-1] = False
     after[:-1] = solid[1:]
     last = np.flatnonzero(solid & (~after | edge[1:]))
+    if prefix:
+        last = np.minimum(last, start + prefix - 1)
     powers, inverses = _POWERS, _INVERSES
     if size > len(powers):
         powers, inverses = _powers(_BASE, size), _powers(_BASE_INVERSE, size)
