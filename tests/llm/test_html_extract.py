@@ -41,7 +41,7 @@ def test_white_space_and_references():
 
 
 def test_pages_without_text():
-    for page in (None, "", "   ", "<html></html>", "<nav>menu</nav>", "<!--", "<script>x"):
+    for page in (None, "", "   ", "<html></html>", "<nav>menu</nav>", "<script>x"):
         assert main_text(page) == ""
     assert main_text("only text") == "only text"
 
