@@ -10,10 +10,11 @@ have a Jaccard similarity of `numerator / denominator` or more.
    in a shard if one such group agrees. Sizes are cut into strata so that h is
    near the size of every text of a stratum; a text near the upper end of its
    stratum also takes part in the next one.
-2. *R-tree.* Texts that meet are joined in cells of bounded size. A cell hashes
-   shingles into groups, indexes the group counts as points of an R-tree and
-   bounds the overlap with a whole subtree by the sum of coordinate minima.
-3. *Verification.* Surviving pairs are compared exactly, unless the cell already
+2. *R-tree.* Shingles are hashed into groups, one for about eight shingles of a text;
+   the counts are points of an R-tree, and the overlap of a text with a whole subtree is at most the sum of
+   coordinate minima. In a shard this bound joins the texts that may link; joined
+   texts are a block. A block is searched in cells of bounded size, by the same tree.
+3. *Verification.* Surviving pairs of a cell are compared exactly, unless it already
    knows that both texts are in one component. So a cell gives a spanning forest
    of its links, never all pairs of a group.
 
@@ -45,11 +46,18 @@ from storetally.llm.texts import (
 )
 
 _WORD = r"[^\x20\x09-\x0D]"
-DIMENSIONS = 48
+# Coordinates of a point: a power of two, about one for each eight shingles.
+LEAST_DIMENSIONS = 64
+MOST_DIMENSIONS = 1 << 14
 FANOUT = 12
+_MOST = np.iinfo(np.uint8).max
 # A cell of the join holds about so many texts and shingles.
 CELL_TEXTS = 1500
 CELL_SHINGLES = 1_500_000
+# A larger shard is one block as a whole, without a search by bounds.
+SHARD_TEXTS = 20_000
+# Shards of so many texts or fewer are known by their texts, so that equal shards count once.
+LISTED = 64
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -66,6 +74,17 @@ def _fingerprint(mixed: np.ndarray) -> tuple[int, int]:
     return low, high
 
 
+def _dimensions(count: int) -> int:
+    """Coordinates for a set: with fewer, unrelated large sets would look alike."""
+    return min(max(LEAST_DIMENSIONS, 1 << max(0, (count // 8 - 1).bit_length())), MOST_DIMENSIONS)
+
+
+def _point(hashes: np.ndarray, dimensions: int) -> np.ndarray:
+    """Shingles of a set in each group; a group of fewer coordinates joins neighbours of one of more."""
+    group = hashes >> np.uint64(65 - dimensions.bit_length())
+    return np.bincount(group.astype(np.int64), minlength=dimensions)
+
+
 def _class_name(low: int, high: int) -> str:
     return f"{low:016x}{high:016x}"
 
@@ -128,13 +147,22 @@ def _classes(size: int):
             counts = np.zeros(batch.num_rows, dtype=np.int64)
             nodes = np.zeros(batch.num_rows, dtype=np.uint64)
             names: list[str | None] = [None] * batch.num_rows
+            points: list[bytes | None] = [None] * batch.num_rows
             for row, hashes in _sets(batch.column(1), size):
                 if len(hashes):
                     low, high = _fingerprint(mix(hashes))
                     counts[row], nodes[row], names[row] = len(hashes), low, _class_name(low, high)
+                    point = _point(hashes, _dimensions(len(hashes)))
+                    points[row] = np.minimum(point, _MOST).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts), pa.array(signed(nodes)), pa.array(names, pa.string())],
-                ["doc_id", "n_shingles", "node", "class"],
+                [
+                    batch.column(0),
+                    pa.array(counts),
+                    pa.array(signed(nodes)),
+                    pa.array(names, pa.string()),
+                    pa.array(points, pa.binary()),
+                ],
+                ["doc_id", "n_shingles", "node", "class", "point"],
             )
 
     return run
@@ -172,42 +200,99 @@ def _shard_rows(size: int, numerator: int, denominator: int):
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges from the first node of each shard to the others, of rows sorted by shard.
+    """(shard, node) of the shards with several texts, of rows sorted by (key, node).
 
-    A shard may go on in the next partition, so the first and last shard of a
-    partition are also given with their key (key not NULL), once each.
+    The first and the last shard of a batch may go on in another batch or
+    partition, so they are known by their key and given even with one text.
     """
-
-    def border(key: int, leader: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([leader], pa.int64()), pa.array([leader], pa.int64()), pa.array([key], pa.int64())],
-            ["u", "v", "key"],
-        )
-
-    key, leader = None, None
+    seen: set[int] = set()
     for batch in batches:
         if not batch.num_rows:
             continue
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         nodes = batch.column(1).to_numpy(zero_copy_only=False)
-        begins = np.ones(len(keys), dtype=bool)
-        begins[1:] = keys[1:] != keys[:-1]
-        if key is None:
-            yield border(int(keys[0]), int(nodes[0]))
-        begins[0] = key is None or keys[0] != key
-        starts = np.flatnonzero(begins)
-        leaders = np.repeat(nodes[starts], np.diff(np.append(starts, len(keys))))
-        if len(leaders) < len(keys):  # the batch begins inside a shard
-            leaders = np.concatenate([np.full(len(keys) - len(leaders), leader), leaders])
-        other = nodes != leaders
-        if other.any():
-            pairs = np.unique(np.stack([leaders[other], nodes[other]]), axis=1)
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+        keys, nodes = keys[new], nodes[new]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts = np.diff(np.append(starts, len(keys)))
+        names = mix(keys[starts].view(np.uint64))
+        listed = (counts > 1) & (counts <= LISTED)
+        listed[[0, -1]] = False
+        lists = mix(np.add.reduceat(mix(nodes.view(np.uint64)), starts) + counts.astype(np.uint64))
+        names[listed] = lists[listed]
+        chosen = (counts > 1) & ~listed
+        chosen[[0, -1]] = True
+        _, first = np.unique(lists[listed], return_index=True)
+        fresh_lists = [run for run in np.flatnonzero(listed)[first].tolist() if int(lists[run]) not in seen]
+        if len(seen) > 1_000_000:
+            seen.clear()
+        seen.update(lists[fresh_lists].tolist())
+        chosen[fresh_lists] = True
+        rows = np.repeat(chosen, counts)
+        if rows.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64())], ["u", "v", "key"]
+                [pa.array(signed(np.repeat(names, counts)[rows])), pa.array(nodes[rows])], ["shard", "node"]
             )
-        key, leader = int(keys[-1]), int(leaders[-1])
-    if key is not None:
-        yield border(key, leader)
+
+
+def _edges(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["u", "v"])
+
+
+def _near(numerator: int, denominator: int):
+    def bounded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        """Edges that join the texts of a shard which may link."""
+        rows = pa.Table.from_batches(held)
+        nodes, sizes = rows.column("node").to_numpy(), rows.column("n").to_numpy()
+        found = [np.frombuffer(one, dtype=np.uint8) for one in rows.column("point").to_pylist()]
+        least = min(map(len, found))
+        # A count that may have been cut is without bound.
+        points = np.stack(
+            [np.where(one == _MOST, 2**20, one.astype(np.int32)).reshape(least, -1).sum(axis=1) for one in found]
+        )
+        tree = _Tree(points, sizes)
+        labels = np.arange(len(nodes))
+        probed = np.zeros(len(nodes), dtype=bool)
+        edges = []
+        # A text need not be searched from if all that is not joined to it is.
+        while True:
+            waiting = ~probed & (labels != np.bincount(labels).argmax()) if probed.any() else ~probed
+            if not waiting.any():
+                break
+            row = int(waiting.argmax())
+            probed[row] = True
+            found = tree.search(points[row], int(sizes[row]), numerator, denominator)
+            found = found[labels[found] != labels[row]]
+            edges += [(row, int(other)) for other in found]
+            labels[np.isin(labels, labels[found])] = labels[row]
+        pairs = np.array(edges, dtype=np.int64).reshape(-1, 2)
+        return _edges(nodes[pairs[:, 0]], nodes[pairs[:, 1]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        count, shard, leader = 0, None, None
+        for batch in batches:
+            shards = batch.column(0).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(shards)]
+            for begin, stop in zip(cuts, cuts[1:]):
+                if begin == stop:
+                    continue
+                if shards[begin] != shard:
+                    if count > 1 and held:
+                        yield bounded(held)
+                    held, count, shard = [], 0, shards[begin]
+                    leader = batch.column(1)[begin].as_py()
+                held.append(batch.slice(begin, stop - begin))
+                count += stop - begin
+                if count > SHARD_TEXTS:
+                    nodes = np.concatenate([one.column(1).to_numpy(zero_copy_only=False) for one in held])
+                    yield _edges(np.full(len(nodes), leader, dtype=np.int64), nodes)
+                    held = []
+        if count > 1 and held:
+            yield bounded(held)
+
+    return run
 
 
 class _Tree:
@@ -248,12 +333,7 @@ def _common(left: np.ndarray, right: np.ndarray) -> int:
 def join_cell(sets: list[np.ndarray], labels: np.ndarray, numerator: int, denominator: int) -> list[tuple[int, int]]:
     """Links of the sets that join what `labels` does not join yet: a spanning forest of them."""
     sizes = np.array([len(one) for one in sets], dtype=np.int64)
-    points = np.stack(
-        [
-            np.bincount((((one >> np.uint64(32)) * np.uint64(DIMENSIONS)) >> np.uint64(32)).astype(np.int64), minlength=DIMENSIONS)
-            for one in sets
-        ]
-    ).astype(np.int32)
+    points = np.stack([_point(one, _dimensions(int(sizes.max()))) for one in sets]).astype(np.int32)
     tree = _Tree(points, sizes)
     labels = labels.copy()
     links = []
@@ -344,25 +424,30 @@ def ngram_join(
     """
     source = docs.select("doc_id", F.col(text).alias("text"))
     classes = shared_checkpoint(
-        source.mapInArrow(_classes(size), "doc_id bigint, n_shingles bigint, node bigint, class string")
+        source.mapInArrow(_classes(size), "doc_id bigint, n_shingles bigint, node bigint, class string, point binary")
     )
     shards = source.select("text").mapInArrow(
         _shard_rows(size, numerator, denominator), "key bigint, node bigint"
     )
     # A range of (key, node) may end inside a shard, so that a hot shard is spread over tasks.
-    meetings = shared_checkpoint(
+    meetings = (
         shards.repartitionByRange("key", "node")
         .sortWithinPartitions("key", "node")
-        .mapInArrow(_meetings, "u bigint, v bigint, key bigint")
+        .mapInArrow(_meetings, "shard bigint, node bigint")
         .distinct()
     )
-    border = meetings.filter("key IS NOT NULL").select("u", "key")
-    across = border.join(border.groupBy("key").agg(F.min("u").alias("v")), "key").select("u", "v")
-    blocks = components(meetings.filter("key IS NULL").select("u", "v").union(across))
-
     representatives = classes.filter("class IS NOT NULL").groupBy("class", "node").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")
+        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.max("point").alias("point")
     )
+    near = (
+        meetings.join(representatives.select("node", "n", "point"), "node")
+        .select("shard", "node", "n", "point")
+        .repartition("shard")
+        .sortWithinPartitions("shard", "node")
+        .mapInArrow(_near(numerator, denominator), "u bigint, v bigint")
+    )
+    blocks = components(near)
+
     candidates = representatives.join(blocks, "node").select("class", "doc_id", "n", F.col("root").alias("block"))
     weights = candidates.groupBy("block").agg(F.count("*").alias("texts"), F.sum("n").alias("shingles"))
     weights = weights.filter("texts > 1").select(

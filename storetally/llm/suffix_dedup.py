@@ -531,10 +531,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", with_bytes: bool = True)
     sent = source.filter(F.octet_length("text") >= LENGTH).select("doc", "key", "text").mapInArrow(_run_rows, _RUNS)
     found = shared_table(_repeats(sent), "repeats")
     different = found.filter("anchor IS NOT NULL")
-    contexts = (
+    contexts = shared_table(
         _with_places(source, different, F.struct("anchor", "place"), "inner")
         .select("doc", "text", "places")
-        .mapInArrow(_contexts, "anchor bigint, doc bigint, place bigint, bytes binary")
+        .mapInArrow(_contexts, "anchor bigint, doc bigint, place bigint, bytes binary"),
+        "contexts",
     )
     repeats = found.filter("anchor IS NULL").select("doc", "place")
     hot = shared_checkpoint(different.groupBy("anchor").count().filter(F.col("count") > HOT_CONTEXTS).select("anchor"))

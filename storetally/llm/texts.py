@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -175,19 +176,33 @@ def shared_folder(spark: SparkSession) -> str:
     return "spark-warehouse/checkpoints"
 
 
+@contextmanager
+def _own_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files: its result is kept elsewhere, so nothing reads them again."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def shared_checkpoint(frame: DataFrame) -> DataFrame:
     """`frame` computed once and kept in the shared folder, so that no later stage repeats it."""
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(frame.sparkSession))
-    return frame.checkpoint(eager=True)
+    spark = frame.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    with _own_shuffles(spark):
+        return frame.checkpoint(eager=True)
 
 
 def shared_table(frame: DataFrame, label: str) -> DataFrame:
     """Like `shared_checkpoint`, for larger data: written as Parquet and read again; removed when Python ends."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    with _own_shuffles(spark):
+        frame.write.parquet(path)
     atexit.register(remove, spark, path)
     return spark.read.parquet(path)
 
