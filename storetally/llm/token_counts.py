@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from storetally.llm.texts import table
+from storetally.llm.texts import shared_checkpoint, table
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # The pattern that belongs to the vocabulary. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Lengths that share one bucket of the two-level running sums.
-BUCKET = 4096
+BUCKET = 256
 
 _ENCODINGS: dict[int, tiktoken.Encoding] = {}
 
@@ -70,6 +70,7 @@ def limits(histogram: DataFrame) -> DataFrame:
     Between two lengths of the histogram, truncated_tokens is linear and the
     others are those of the lesser length.
     """
+    histogram = shared_checkpoint(histogram)
     bucket = F.floor(F.col("n_tokens") / BUCKET)
     rows = histogram.withColumn("bucket", bucket).withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     # One row per bucket passes through a single window, one row per length through those of its bucket.
