@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from storetally.plans.pipeline import LOADERS, build_flat, run_flat, run_pipeline
+from storetally.plans.pipeline import LOADERS, build_flat, run_flat, run_pipeline, run_profile
 from storetally.session import build_session
 
 
@@ -15,9 +15,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output-path", required=True, help="folder for the results")
     parser.add_argument(
         "--job",
-        choices=["star", "flatten", "flat"],
+        choices=["star", "flatten", "flat", "profile"],
         default="star",
-        help="analyse star tables, join them to a flat table, or analyse a flat table",
+        help="analyse star tables, join them to a flat table, analyse a flat table, or profile star tables",
     )
     parser.add_argument("--layout", choices=sorted(LOADERS), default="chunks", help="how the star fact is stored")
     parser.add_argument("--window", default="1 month", help="length of the time windows")
@@ -36,6 +36,8 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if args.job == "flatten":
             result = build_flat(spark, args.input_path, args.output_path)
+        elif args.job == "profile":
+            result = run_profile(spark, args.input_path, args.output_path)
         elif args.job == "flat":
             result = run_flat(spark, args.input_path, args.output_path, args.window)
         else:

@@ -11,8 +11,9 @@ from storetally.functions.lookups import HAZMAT_CATEGORIES
 
 
 def customer_key(segment: Column, number: Column) -> Column:
-    """'Commercial', 42 -> 'COM_00000042'; longer numbers are kept whole."""
-    return F.format_string("%s_%08d", F.upper(F.substring(segment, 1, 3)), number.cast("bigint"))
+    """'Commercial', 42 -> 'COM_00000042'; longer numbers are kept whole; NULL if either is."""
+    key = F.format_string("%s_%08d", F.upper(F.substring(segment, 1, 3)), number.cast("bigint"))
+    return F.when(segment.isNotNull() & number.isNotNull(), key)
 
 
 def sku_key(number: Column) -> Column:

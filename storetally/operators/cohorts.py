@@ -26,7 +26,7 @@ def customer_cohorts(
     daily = (
         sales.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id", F.to_date(time).alias("day"))
-        .agg(F.sum(cents(amount)).alias("cents"))
+        .agg(F.sum(cents(sales, amount)).alias("cents"))
     )
     dated = daily.withColumn("first_day", F.min("day").over(Window.partitionBy("customer_id")))
     per_customer = dated.groupBy(

@@ -18,7 +18,7 @@ def flatten(
     transaction_id, customer_id, customer_segment, timestamp; `products`: sku,
     category; `stores`: store_id, region, state. `store_id` comes with either
     `items` or `header`. The measure of a flat row is its own line total. Lines
-    without a header are dropped, lines without a product or store are kept.
+    without a header, product or store are kept, with NULLs.
 
     A side that is not needed costs a join that Spark cannot remove: leave it
     out. No join is hinted: a side below Spark's broadcast threshold is
@@ -26,7 +26,7 @@ def flatten(
     """
     flat = items.withColumnRenamed("line_total", "transaction_total")
     if header is not None:
-        flat = flat.join(header.withColumnRenamed("timestamp", "transaction_date"), "transaction_id")
+        flat = flat.join(header.withColumnRenamed("timestamp", "transaction_date"), "transaction_id", "left")
     if products is not None:
         flat = flat.join(products.select("sku", F.col("category").alias("product_category")), "sku", "left")
     if stores is not None:

@@ -26,7 +26,7 @@ def basic_stats(
     """
     days = [F.to_date(date).alias("day")] if date else []
     spans = [F.min("day").alias("date_from"), F.max("day").alias("date_to")] if date else []
-    priced = sales.select("store_id", "customer_id", cents(amount).alias("cents"), *days)
+    priced = sales.select("store_id", "customer_id", cents(sales, amount).alias("cents"), *days)
     if one_pass:
         stats = in_one_pass(priced, extra=spans)
     else:
@@ -57,7 +57,7 @@ def mini_stats(sales: DataFrame, amount: str = "total_amount") -> DataFrame:
     return sales.agg(
         F.count("*").alias("row_count"),
         F.count(amount).alias("priced"),
-        F.sum(cents(amount)).alias("cents"),
+        F.sum(cents(sales, amount)).alias("cents"),
     ).select(
         F.col("row_count").alias("total_transactions"),
         revenue().alias("total_revenue"),

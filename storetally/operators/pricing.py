@@ -1,12 +1,14 @@
 """Line pricing and header totals, exact and rounded half up.
 
-Inputs (DOUBLE or DECIMAL): `base_price` with two decimals, `price_premium` with
-four (NULL counts as 1), `discount_pct` with six (0.1 = 10 %, NULL as 0), and
-`quantity`.
-
-Prices are whole numbers of 1e-10 cents in a BIGINT: the product of the three
-inputs is exact, and fifteen times faster than the same product in wide
-DECIMALs. A unit price may reach 9.2 million; beyond that ANSI mode raises.
+Inputs: `base_price`, `price_premium` (NULL counts as 1), `discount_pct` (0.1 =
+10 %, NULL as 0), and `quantity`. A NULL price gives NULL results.
+
+The declared types choose the arithmetic. DECIMALs of at most two (price), four
+(premium) and six (discount) decimals are multiplied as whole numbers of 1e-10
+cents in a BIGINT, fifteen times faster than wide DECIMALs; a unit price may reach
+9.2 million there, beyond that ANSI mode raises. Anything else, such as DOUBLE
+discounts of any digits, is multiplied as DECIMAL of 24 decimals: prices with two,
+premiums with four, discounts with 18; line totals may reach 10^12.
 """
 
 from __future__ import annotations
@@ -15,14 +17,36 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from storetally.functions.lookups import SALES_TAX
 from storetally.functions.money import amount
 
 PER_CENT = 10_000 * 1_000_000
 
-LIST_PRICE = "bigint(rint(base_price * 100)) * bigint(rint(coalesce(price_premium, 1) * 10000))"
-DISCOUNT = "bigint(rint(coalesce(discount_pct, 0) * 1000000))"
+LIST_PRICE = "bigint(base_price * 100) * bigint(coalesce(price_premium, 1) * 10000)"
+DISCOUNT = "bigint(coalesce(discount_pct, 0) * 1000000)"
+# Most decimals of the whole-number form.
+DIGITS = {"base_price": 2, "price_premium": 4, "discount_pct": 6}
+
+
+def _fits_whole_numbers(lines: DataFrame) -> bool:
+    kinds = {name: lines.schema[name].dataType for name in DIGITS}
+    return all(isinstance(kind, DecimalType) and kind.scale <= DIGITS[name] for name, kind in kinds.items())
+
+
+def _with_decimals(lines: DataFrame) -> DataFrame:
+    """Adds `listed` and `kept`, the part of it that is paid."""
+    premium = F.coalesce(F.col("price_premium").cast("decimal(6,4)"), F.lit(Decimal(1)).cast("decimal(6,4)"))
+    discount = F.coalesce(F.col("discount_pct").cast("decimal(19,18)"), F.lit(Decimal(0)).cast("decimal(19,18)"))
+    return lines.withColumn("listed", (F.col("base_price").cast("decimal(12,2)") * premium).cast("decimal(16,6)")).withColumn(
+        "kept", (F.lit(Decimal(1)) - discount).cast("decimal(19,18)")
+    )
+
+
+def _line_total() -> Column:
+    """DECIMAL(38,24): nothing is rounded."""
+    return (F.col("listed") * F.col("quantity").cast("decimal(10,0)")).cast("decimal(18,6)") * F.col("kept")
 
 
 def whole_cents(units: str) -> Column:
@@ -50,6 +74,14 @@ def price_lines(lines: DataFrame) -> DataFrame:
     `line_total` rounds the unrounded price times quantity once;
     `discount_amount` rounds per unit and multiplies then.
     """
+    if not _fits_whole_numbers(lines):
+        saved = F.round(F.col("listed") * (F.lit(Decimal(1)) - F.col("kept")).cast("decimal(19,18)"), 2)
+        return _with_decimals(lines).select(
+            *lines.columns,
+            F.round(F.col("listed") * F.col("kept"), 2).cast("double").alias("unit_price"),
+            F.round(_line_total(), 2).cast("double").alias("line_total"),
+            (saved * F.col("quantity").cast("decimal(10,0)")).cast("double").alias("discount_amount"),
+        )
     return _with_units(lines).select(
         *lines.columns,
         amount(whole_cents("paid")).alias("unit_price"),
@@ -60,6 +92,19 @@ def price_lines(lines: DataFrame) -> DataFrame:
 
 def header_totals(lines: DataFrame, key: str = "transaction_id", tax: Decimal = SALES_TAX) -> DataFrame:
     """Subtotal, tax and total per transaction, each rounded once from the exact sum."""
+    if not _fits_whole_numbers(lines):
+        summed = F.col("summed")
+        return (
+            _with_decimals(lines)
+            .groupBy(key)
+            .agg(F.sum(_line_total()).alias("summed"))
+            .select(
+                key,
+                F.round(summed, 2).cast("double").alias("subtotal"),
+                F.round(summed * F.lit(tax), 2).cast("double").alias("tax_amount"),
+                F.round(summed * F.lit(1 + tax), 2).cast("double").alias("total_amount"),
+            )
+        )
     rest = F.sum("rest").cast("decimal(20,0)") * F.lit(Decimal(1) / PER_CENT).cast("decimal(10,10)")
     exact = F.col("cents")
     return (

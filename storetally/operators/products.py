@@ -17,8 +17,8 @@ def product_performance(sales: DataFrame, amount: str = "transaction_total") ->
             "product_category",
             "store_id",
             F.col("quantity").cast("bigint").alias("quantity"),
-            cents(amount).alias("cents"),
-            cents("unit_price").alias("unit_cents"),
+            cents(sales, amount).alias("cents"),
+            cents(sales, "unit_price").alias("unit_cents"),
         )
         .groupBy("product_category")
         .agg(

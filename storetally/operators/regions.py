@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storetally.functions.money import cents
@@ -14,7 +14,7 @@ PLACE = ["region", "state"]
 def regional_flat(sales: DataFrame, amount: str = "transaction_total") -> DataFrame:
     """Revenue, mean, stores and customers per region and state of a flat table."""
     return (
-        in_one_pass(sales.select(*PLACE, "store_id", "customer_id", cents(amount).alias("cents")), PLACE)
+        in_one_pass(sales.select(*PLACE, "store_id", "customer_id", cents(sales, amount).alias("cents")), PLACE)
         .select(
             *PLACE,
             revenue().alias("total_revenue"),
@@ -33,16 +33,15 @@ def regional_star(sales: DataFrame, stores: DataFrame, amount: str = "total_amou
     carries one number per place, the place's smallest store, instead of two
     strings through the distinct counts; region and state are joined to the
     result. No join is hinted: Spark broadcasts the stores if their size is below
-    its threshold and else sorts and merges, where AQE splits a hot store.
+    its threshold (give them as a scan, for the estimated size of a join is the
+    product of its sides) and else sorts and merges, where AQE splits a hot store.
     """
     # Stores with neither region nor state belong to the NULL group, too.
     named = stores.where(F.col("region").isNotNull() | F.col("state").isNotNull())
     places = named.groupBy(*PLACE).agg(F.min("store_id").alias("place"))
-    known = named.alias("s").join(
-        places.alias("p"),
-        F.col("s.region").eqNullSafe(F.col("p.region")) & F.col("s.state").eqNullSafe(F.col("p.state")),
-    )
-    placed = sales.select("store_id", "customer_id", cents(amount).alias("cents")).join(
+    # A window keeps the size of the stores; a self-join would be estimated far larger.
+    known = named.withColumn("place", F.min("store_id").over(Window.partitionBy(*PLACE)))
+    placed = sales.select("store_id", "customer_id", cents(sales, amount).alias("cents")).join(
         known.select("store_id", "place"), "store_id", "left"
     )
     return (
@@ -63,7 +62,7 @@ def regional_star(sales: DataFrame, stores: DataFrame, amount: str = "total_amou
 def regional_by_store(sales: DataFrame, amount: str = "total_amount") -> DataFrame:
     """Revenue, mean and count per store, for use without a stores table."""
     return (
-        sales.select("store_id", cents(amount).alias("cents"))
+        sales.select("store_id", cents(sales, amount).alias("cents"))
         .groupBy("store_id")
         .agg(*totals())
         .select(

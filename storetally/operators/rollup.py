@@ -48,7 +48,7 @@ def add_up(stores: DataFrame, customers: DataFrame, extra: Sequence[Column] = ()
     return present.unionByName(counted, allowMissingColumns=True).agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum("priced"), F.lit(0)).alias("priced"),
-        F.sum(F.col("cents").cast("decimal(38,0)")).alias("cents"),
+        F.sum(F.col("cents").cast("decimal(38,10)")).alias("cents"),
         F.coalesce(F.sum("stores"), F.lit(0)).alias("stores"),
         F.coalesce(F.sum("customers"), F.lit(0)).alias("customers"),
         *extra,

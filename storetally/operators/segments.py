@@ -25,7 +25,7 @@ def sales_by_segment(sales: DataFrame, amount: str = "total_amount", share: bool
         measures.append(F.stddev("price").alias("transaction_stddev"))
     per_segment = (
         sales.select(
-            "customer_segment", "customer_id", cents(amount).alias("cents"), F.col(amount).cast("double").alias("price")
+            "customer_segment", "customer_id", cents(sales, amount).alias("cents"), F.col(amount).cast("double").alias("price")
         )
         .groupBy("customer_segment")
         .agg(*measures)
@@ -39,6 +39,6 @@ def sales_by_segment(sales: DataFrame, amount: str = "total_amount", share: bool
     ]
     if share:
         # One row per segment reaches this window.
-        everything = as_amount(F.sum(F.col("cents").cast("decimal(38,0)")).over(Window.partitionBy()))
+        everything = as_amount(F.sum(F.col("cents").cast("decimal(38,10)")).over(Window.partitionBy()))
         columns += ["transaction_stddev", ratio(revenue(), everything).alias("revenue_share")]
     return per_segment.select(*columns).orderBy(F.desc("total_revenue"))

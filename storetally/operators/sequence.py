@@ -4,69 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARE = 100_000
-PIECES = 4096
+from storetally.session import remove_at_end, run_folder
 
 
-def heavy_keys(items: DataFrame, key: str, spread_by: Column, min_rows: int = 1_000_000) -> DataFrame:
-    """Keys with at least `min_rows` rows and more than 1/100000 of all rows.
+def item_sequence(items: DataFrame, order_by: Sequence[str], key: str = "transaction_id") -> DataFrame:
+    """Adds `item_sequence`, 1.. within `key` in the total order `order_by` (NULL first, as Spark sorts).
 
-    With the lowest and highest `spread_by` of each. Fewer than 100000 keys can
-    hold that share, whatever the size of the table, so the result may always be
-    broadcast. It combines on the map side, and being exact it is the same each
-    time it is evaluated.
+    The lines are cut by ranges of (key, order_by) into slices of similar size,
+    so a transaction with a large share of the table spans several slices, and
+    written once with the number of their slice. Each slice numbers its lines by
+    itself. Only the transactions at the borders of slices, two for each slice at
+    most, need the sizes of the slices before. Lines without a key get no number.
     """
-    spread = spread_by.cast("double")
-    counts = items.groupBy(key).agg(
-        F.count("*").alias("key_rows"), F.min(spread).alias("low"), F.max(spread).alias("high")
-    )
-    total = items.select(F.count("*")).scalar()
-    return counts.where(
-        F.col(key).isNotNull() & (F.col("key_rows") >= min_rows) & (F.col("key_rows") * SHARE > total)
-    ).select(key, "low", "high")
-
-
-def item_sequence(
-    items: DataFrame,
-    order_by: Sequence[str],
-    spread_by: Column,
-    key: str = "transaction_id",
-    min_rows: int = 1_000_000,
-) -> DataFrame:
-    """Adds `item_sequence`, 1.. within `key` in the total order `order_by`.
-
-    `spread_by` is a number that never falls along `order_by`. A transaction that
-    holds a large share of the table would be sorted in a single task; it is cut
-    along `spread_by` into pieces of equal width, each piece is numbered by itself
-    and the sizes of the pieces before it are added. All others are one piece.
-    Lines without a key get no number.
-    """
-    heavy = F.broadcast(heavy_keys(items, key, spread_by, min_rows))
-    # width_bucket gives NULL where all lines have the same spread.
-    along = F.coalesce(F.width_bucket(spread_by.cast("double"), "low", "high", F.lit(PIECES)), F.lit(0))
-    piece = (
-        F.when(F.col("low").isNotNull(), along)
-        # Lines without a key are spread over the tasks.
-        .when(F.col(key).isNull(), F.pmod(F.xxhash64(*order_by), F.lit(PIECES)))
-        .otherwise(F.lit(0))
-    )
-    # At most PIECES + 2 rows per heavy key reach this window.
-    before = Window.partitionBy(key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        items.join(heavy, key)
-        .groupBy(key, piece.alias("piece"))
-        .agg(F.count("*").alias("piece_rows"))
-        .select(key, "piece", F.sum("piece_rows").over(before).alias("rows_before"))
-    )
-    in_piece = F.row_number().over(Window.partitionBy(key, "piece").orderBy(*order_by))
-    number = F.col("in_piece") + F.coalesce("rows_before", F.lit(0))
+    spark = items.sparkSession
+    folder = run_folder(spark, "slices")
+    items.repartitionByRange(key, *order_by).withColumn("slice", F.spark_partition_id()).write.parquet(folder)
+    remove_at_end(spark, folder)
+    rows = spark.read.parquet(folder)
+
+    ends = rows.where(F.col(key).isNotNull()).groupBy("slice").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    border = ends.select(F.explode(F.array("low", "high")).alias(key)).distinct()
+    # Bounded by twice the number of slices.
+    sizes = rows.select(key, "slice").join(F.broadcast(border), key).groupBy(key, "slice").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(key, "slice", F.sum("n").over(before).alias("rows_before")).where("rows_before > 0")
+    in_slice = F.row_number().over(Window.partitionBy(key, "slice").orderBy(*order_by))
+    number = F.col("in_slice") + F.coalesce("rows_before", F.lit(0))
     return (
-        items.join(heavy, key, "left")
-        .withColumn("piece", piece)
-        .withColumn("in_piece", in_piece)
-        .join(offsets, [key, "piece"], "left")
+        rows.withColumn("in_slice", F.when(F.col(key).isNotNull(), in_slice))
+        .join(F.broadcast(offsets), [key, "slice"], "left")
         .select(*items.columns, F.when(F.col(key).isNotNull(), number).alias("item_sequence"))
     )

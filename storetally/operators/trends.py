@@ -53,7 +53,7 @@ def sales_by_time(
     ]
     if growth:
         if is_shorter_than_a_day(window):
-            windows = _previous_across_days(windows, sales, moment, window, amount, kind)
+            windows = _previous_across_days(windows)
         else:
             # One row per window of a day or more: a few hundred rows a year.
             windows = windows.withColumn("previous", F.lag("cents").over(Window.orderBy("window_start")))
@@ -73,7 +73,7 @@ def _growth() -> Column:
 def _per_window(sales: DataFrame, moment: Column, window: str, amount: str, kind: str) -> DataFrame:
     # Rows without a time belong to no window.
     return (
-        sales.select(moment.alias("moment"), "customer_id", cents(amount).alias("cents"))
+        sales.select(moment.alias("moment"), "customer_id", cents(sales, amount).alias("cents"))
         .where(F.col("moment").isNotNull())
         .groupBy(window_start(F.col("moment"), window).cast(kind).alias("window_start"))
         .agg(*totals(), F.countDistinct("customer_id").alias("unique_customers"))
@@ -81,27 +81,23 @@ def _per_window(sales: DataFrame, moment: Column, window: str, amount: str, kind
     )
 
 
-def _previous_across_days(
-    windows: DataFrame, sales: DataFrame, moment: Column, window: str, amount: str, kind: str
-) -> DataFrame:
+def _previous_across_days(windows: DataFrame) -> DataFrame:
     """Previous window's cents without sorting all windows in one task.
 
     Within a day by `lag` per day; the first window of a day takes the last
-    window of the previous non-empty day from a table with one row per day.
+    window of the previous non-empty day from a table with one row per day. That
+    table carries all columns of its windows, so that both sides are the same
+    exchange for Spark and the fact is read and totalled once.
     """
     in_day = Window.partitionBy("day").orderBy("window_start")
+    by_day = windows.withColumn("day", F.to_date("window_start"))
     closing = (
-        sales.select(moment.alias("moment"), cents(amount).alias("cents"))
-        .where(F.col("moment").isNotNull())
-        .groupBy(window_start(F.col("moment"), window).cast(kind).alias("window_start"))
-        .agg(F.sum("cents").alias("cents"))
-        .groupBy(F.to_date("window_start").alias("day"))
-        .agg(F.max_by(F.struct("cents"), "window_start")["cents"].alias("closing"))
-        .select("day", F.lag("closing").over(Window.orderBy("day")).alias("previous_closing"))
+        by_day.groupBy("day")
+        .agg(F.max_by(F.struct(*windows.columns), "window_start").alias("last"))
+        .select("day", F.lag("last").over(Window.orderBy("day"))["cents"].alias("previous_closing"))
     )
     return (
-        windows.withColumn("day", F.to_date("window_start"))
-        .withColumn("place", F.row_number().over(in_day))
+        by_day.withColumn("place", F.row_number().over(in_day))
         .withColumn("previous_in_day", F.lag("cents").over(in_day))
         .join(closing, "day", "left")
         .withColumn(

@@ -20,7 +20,7 @@ from storetally.operators.regions import regional_by_store, regional_flat, regio
 from storetally.operators.segments import sales_by_segment
 from storetally.operators.sequence import item_sequence
 from storetally.operators.trends import sales_by_date, sales_by_time
-from storetally.plans.pipeline import run_pipeline
+from storetally.plans.pipeline import run_pipeline, save_dataset_info
 from storetally.plans.testdata import (
     TEST_PREMIUM,
     TEST_SEASONAL,
@@ -29,11 +29,12 @@ from storetally.plans.testdata import (
     header,
     priced_lines,
     products,
+    saved_stores,
     star_sales,
     stores,
     table,
 )
-from storetally.session import run_folder
+from storetally.session import remove_at_end, run_folder
 from storetally.sinks.facts import save_chunks, save_partitioned
 from storetally.sinks.results import run_metrics, save_result
 from storetally.sources.parquet import load_chunks, load_filtered, load_partitioned, load_recursive
@@ -74,6 +75,16 @@ def sales_by_segment_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(shares, transaction_stddev=2, revenue_share=6)
 
 
+def sales_by_segment_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discounted amounts: four decimals, so DECIMAL."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS transaction_id",
+        "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS total_amount",
+    )
+    net = lines.join(header(spark, sf_dir, segments=True), "transaction_id", "left")
+    return _rounded(sales_by_segment(net), total_revenue=4, avg_transaction_value=4)
+
+
 def product_performance_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product_performance(flat_sales(spark, sf_dir, "products"))
 
@@ -83,7 +94,12 @@ def regional_flat_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regional_star_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return regional_star(star_sales(spark, sf_dir, "header"), stores(spark, sf_dir))
+    return regional_star(star_sales(spark, sf_dir, "header"), saved_stores(spark, sf_dir))
+
+
+def regional_star_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without the stores of one region: its sales are the (NULL, NULL) group."""
+    return regional_star(star_sales(spark, sf_dir, "header"), saved_stores(spark, sf_dir, leave_out="ASIA"))
 
 
 def regional_by_store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +152,20 @@ def line_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LONG_DISCOUNT = {"discount": "l_discount / 7", "without": "PROMO"}
+
+
+def line_pricing_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discounts of many digits, and lines without a product."""
+    return price_lines(priced_lines(spark, sf_dir, **LONG_DISCOUNT)).select(
+        "transaction_id", "line_number", "sku", "store_id", "quantity", "unit_price", "line_total", "discount_amount"
+    )
+
+
+def header_rollup_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return header_totals(priced_lines(spark, sf_dir, **LONG_DISCOUNT))
+
+
 def header_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header_totals(priced_lines(spark, sf_dir))
 
@@ -143,7 +173,7 @@ def header_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def header_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priced lines, totalled per transaction, analysed by segment."""
     totals = header_totals(priced_lines(spark, sf_dir)).select("transaction_id", "total_amount")
-    return sales_by_segment(totals.join(header(spark, sf_dir, segments=True), "transaction_id"))
+    return sales_by_segment(totals.join(header(spark, sf_dir, segments=True), "transaction_id", "left"))
 
 
 LINE_ORDER = ["line_number", "sku", "store_id", "line_total", "quantity", "shipped"]
@@ -159,9 +189,7 @@ def numbered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("quantity"),
         F.col("l_shipdate").alias("shipped"),
     )
-    # Follows (line_number, sku) and spreads evenly over the part keys.
-    width = lines.select(F.max("sku") + 1).scalar()
-    return item_sequence(lines, LINE_ORDER, F.col("line_number") * width + F.col("sku"))
+    return item_sequence(lines, LINE_ORDER)
 
 
 def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,14 +267,20 @@ def flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPARK_FILES = "part-*.parquet"
 
 
+def _new_folder(spark: SparkSession, label: str) -> str:
+    folder = run_folder(spark, label)
+    remove_at_end(spark, folder)
+    return folder
+
+
 def chunked_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = run_folder(spark, "chunks")
+    folder = _new_folder(spark, "chunks")
     save_chunks(star_sales(spark, sf_dir, "segments"), folder)
     return regional_by_store(load_chunks(spark, folder))
 
 
 def filtered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = save_chunks(star_sales(spark, sf_dir, "segments"), run_folder(spark, "chunks"))
+    path = save_chunks(star_sales(spark, sf_dir, "segments"), _new_folder(spark, "chunks"))
     return sales_by_segment(load_filtered(spark, path, pattern=SPARK_FILES))
 
 
@@ -254,7 +288,7 @@ def _save_by_month(spark: SparkSession, sf_dir: str) -> str:
     sales = star_sales(spark, sf_dir, "segments")
     parts = calendar_parts(F.col("timestamp"))
     by_month = sales.withColumns({"year": parts["year"], "month": parts["month"]})
-    return save_partitioned(by_month, run_folder(spark, "partitioned"))
+    return save_partitioned(by_month, _new_folder(spark, "partitioned"))
 
 
 def recursive_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,32 +303,62 @@ def partitioned_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pruned_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quarter of the partitioned fact; the other folders are not read."""
+    fact = load_partitioned(spark, _save_by_month(spark, sf_dir))
+    return sales_by_segment(fact.where((F.col("year") == 1996) & F.col("month").between(4, 6)))
+
+
 def saved_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = sales_by_segment(star_sales(spark, sf_dir, "segments"), share=True)
-    path = save_result(shares, run_folder(spark, "saved"), "customer_segments")
+    path = save_result(shares, _new_folder(spark, "saved"), "customer_segments", one_file=True)
     return _rounded(spark.read.parquet(path), transaction_stddev=2, revenue_share=6)
 
 
 def saved_segments_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = sales_by_segment(star_sales(spark, sf_dir, "segments"))
-    path = save_result(segments, run_folder(spark, "saved"), "customer_segments")
+    path = save_result(segments, _new_folder(spark, "saved"), "customer_segments", json_copy=True)
     return spark.read.schema(segments.schema).json(f"{path}_summary.json")
 
 
+def saved_cohorts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cohorts = order_cohorts(spark, sf_dir)
+    path = save_result(cohorts, _new_folder(spark, "saved"), "cohorts", json_copy=True)
+    return spark.read.schema(cohorts.schema).json(f"{path}_summary.json")
+
+
+def appended_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two results, one appended to the other."""
+    folder = _new_folder(spark, "saved")
+    for _ in range(2):
+        path = save_result(sales_by_segment(star_sales(spark, sf_dir, "segments")), folder, "segments", mode="append")
+    return spark.read.parquet(path)
+
+
 def saved_time_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     trend = monthly_sales_growth(spark, sf_dir).withColumn("window_date", F.to_date("window_start"))
-    path = save_result(trend, run_folder(spark, "saved"), "time_series", ["window_date"])
+    path = save_result(trend, _new_folder(spark, "saved"), "time_series", ["window_date"])
     return spark.read.parquet(path)
 
 
-def pipeline_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole pipeline on model tables written from the test tables."""
-    folder = run_folder(spark, "pipeline")
+def saved_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = save_dataset_info(profile(spark, sf_dir), _new_folder(spark, "profile"), sf_dir)
+    info = profile_info(spark, sf_dir)
+    return spark.read.schema(info.schema).json(path)
+
+
+def _pipeline_output(spark: SparkSession, sf_dir: str, cache: bool = False) -> str:
+    """Runs the whole pipeline on model tables written from the test tables."""
+    folder = _new_folder(spark, "pipeline")
     save_chunks(star_sales(spark, sf_dir, "segments"), f"{folder}/input")
     stores(spark, sf_dir).write.parquet(f"{folder}/input/stores_master.parquet")
     products(spark, sf_dir).write.parquet(f"{folder}/input/products_master.parquet")
-    run_pipeline(spark, f"{folder}/input", f"{folder}/output")
-    summary = spark.read.json(f"{folder}/output/analysis_summary.json")
+    run_pipeline(spark, f"{folder}/input", f"{folder}/output", cache=cache)
+    return f"{folder}/output"
+
+
+def pipeline_statistics(spark: SparkSession, sf_dir: str, cache: bool = False) -> DataFrame:
+    summary = spark.read.json(f"{_pipeline_output(spark, sf_dir, cache)}/analysis_summary.json")
     return summary.select(
         "transaction_count",
         "master_data.*",
@@ -307,6 +371,19 @@ def pipeline_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline_statistics(spark, sf_dir, cache=True)
+
+
+def pipeline_result(name: str, **digits: int) -> Query:
+    """One of the results the pipeline writes."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _rounded(spark.read.parquet(f"{_pipeline_output(spark, sf_dir)}/{name}"), **digits)
+
+    return query
+
+
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_metrics(basic_stats_flat(spark, sf_dir))
 
@@ -318,9 +395,11 @@ QUERIES: dict[str, Query] = {
     "mini_stats": mini_stats_star,
     "sales_by_segment": sales_by_segment_flat,
     "sales_by_segment_share": sales_by_segment_share,
+    "sales_by_segment_net": sales_by_segment_net,
     "product_performance": product_performance_flat,
     "regional_flat": regional_flat_sales,
     "regional_star": regional_star_sales,
+    "regional_star_unknown": regional_star_unknown,
     "regional_by_store": regional_by_store_sales,
     "monthly_sales": sales_by_month,
     "quarterly_sales": sales_by_quarter,
@@ -335,7 +414,9 @@ QUERIES: dict[str, Query] = {
     "event_cohorts": event_cohorts,
     "line_pricing": line_pricing,
     "line_discount": line_discount,
+    "line_pricing_long": line_pricing_long,
     "header_rollup": header_rollup,
+    "header_rollup_long": header_rollup_long,
     "header_segments": header_segments,
     "item_sequence": numbered_items,
     "calendar_parts": order_calendar,
@@ -355,6 +436,15 @@ QUERIES: dict[str, Query] = {
     "partitioned_fact": partitioned_fact,
     "saved_segments": saved_segments,
     "saved_segments_json": saved_segments_json,
+    "pruned_fact": pruned_fact,
+    "saved_cohorts_json": saved_cohorts_json,
+    "appended_segments": appended_segments,
     "saved_time_series": saved_time_series,
+    "saved_profile": saved_profile,
     "pipeline_statistics": pipeline_statistics,
+    "pipeline_cached": pipeline_cached,
+    "pipeline_basic_stats": pipeline_result("basic_stats"),
+    "pipeline_segments": pipeline_result("customer_segments", transaction_stddev=2, revenue_share=6),
+    "pipeline_regions": pipeline_result("regional_analysis"),
+    "pipeline_time_series": pipeline_result("time_series"),
 }

@@ -10,8 +10,8 @@ SALES = """
            o_custkey AS customer_id, o_orderdate AS ts, c_mktsegment AS customer_segment,
            p_type AS product_category, r_name AS region, n_name AS state
     FROM lineitem
-    JOIN orders ON l_orderkey = o_orderkey
-    JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN orders ON l_orderkey = o_orderkey
+    LEFT JOIN customer ON o_custkey = c_custkey
     LEFT JOIN part ON l_partkey = p_partkey
     LEFT JOIN (supplier JOIN nation ON s_nationkey = n_nationkey
                JOIN region ON n_regionkey = r_regionkey) ON l_suppkey = s_suppkey
@@ -96,17 +96,30 @@ LINES = """
                                 WHEN 'ASIA' THEN 0.95 ELSE 1 END AS DECIMAL(5,4)) AS DECIMAL(20,6)) AS list_price,
            CAST(1 - CAST(l_discount AS DECIMAL(9,8)) AS DECIMAL(9,8)) AS kept
     FROM lineitem
-    JOIN part ON l_partkey = p_partkey
-    JOIN supplier ON l_suppkey = s_suppkey
-    JOIN nation ON s_nationkey = n_nationkey
-    JOIN region ON n_regionkey = r_regionkey
+    LEFT JOIN part ON l_partkey = p_partkey
+    LEFT JOIN supplier ON l_suppkey = s_suppkey
+    LEFT JOIN nation ON s_nationkey = n_nationkey
+    LEFT JOIN region ON n_regionkey = r_regionkey
 """
+# Discounts of many digits; products of one type are unknown.
+LONG_LINES = (
+    LINES.replace("CAST(1 - CAST(l_discount AS DECIMAL(9,8)) AS DECIMAL(9,8)) AS kept",
+                  "CAST(1 - CAST(CAST(l_discount / 7 AS VARCHAR) AS DECIMAL(19,18)) AS DECIMAL(19,18)) AS kept")
+    .replace("AS DECIMAL(20,6)) AS list_price", "AS DECIMAL(16,6)) AS list_price")
+    .replace("CAST(l_quantity AS DECIMAL(6,0)) AS qty", "CAST(l_quantity AS DECIMAL(3,0)) AS qty")
+    .replace("l_partkey = p_partkey", "l_partkey = p_partkey AND p_type <> 'PROMO'")
+)
 HEADERS = f"""
     SELECT transaction_id, CAST(ROUND(exact, 2) AS DOUBLE) AS subtotal,
            CAST(ROUND(exact * CAST(0.08 AS DECIMAL(3,2)), 2) AS DOUBLE) AS tax_amount,
            CAST(ROUND(exact * CAST(1.08 AS DECIMAL(3,2)), 2) AS DOUBLE) AS total_amount
     FROM (SELECT transaction_id, CAST(SUM(list_price * kept * qty) AS DECIMAL(32,14)) AS exact
           FROM ({LINES}) GROUP BY transaction_id)"""
+HEADERS_LONG = f"""
+    SELECT transaction_id, CAST(ROUND(exact, 2) AS DOUBLE) AS subtotal,
+           CAST(ROUND(CAST(exact AS DECIMAL(34,20)) * CAST(0.08 AS DECIMAL(3,2)), 2) AS DOUBLE) AS tax_amount,
+           CAST(ROUND(CAST(exact AS DECIMAL(34,20)) * CAST(1.08 AS DECIMAL(3,2)), 2) AS DOUBLE) AS total_amount
+    FROM (SELECT transaction_id, SUM(list_price * kept * qty) AS exact FROM ({LONG_LINES}) GROUP BY transaction_id)"""
 LINE_KEYS = "transaction_id, line_number, sku, store_id, quantity"
 
 
@@ -133,6 +146,15 @@ ORACLE: dict[str, str] = {
     "mini_stats": with_sales(f"SELECT COUNT(*) AS total_transactions, {TOTALS}, {MEAN} FROM sales"),
     "sales_by_segment": with_sales(f"SELECT {SEGMENT} FROM sales GROUP BY customer_segment"),
     "sales_by_segment_share": with_sales(SEGMENT_SHARE),
+    "sales_by_segment_net": f"""
+        WITH sales AS (
+            SELECT CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS amount,
+                   o_custkey AS customer_id, c_mktsegment AS customer_segment
+            FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey)
+        SELECT customer_segment, COUNT(*) AS transaction_count, ROUND(CAST(SUM(amount) AS DOUBLE), 4) AS total_revenue,
+               ROUND(CAST(SUM(amount) AS DOUBLE) / COUNT(amount), 4) AS avg_transaction_value,
+               {CUSTOMERS} AS unique_customers
+        FROM sales GROUP BY customer_segment""",
     "product_performance": with_sales(f"""
         SELECT product_category, CAST(SUM(quantity) AS BIGINT) AS total_units_sold, {TOTALS},
                CAST(SUM((CAST(amount * 100 AS BIGINT) * 2 + quantity) // (quantity * 2)) AS DOUBLE) / 100
@@ -144,6 +166,10 @@ ORACLE: dict[str, str] = {
                {CUSTOMERS} AS customer_count
         FROM sales GROUP BY region, state"""),
     "regional_star": with_sales(REGION_STAR),
+    "regional_star_unknown": with_sales(f"""
+        , known AS (SELECT * REPLACE (CASE WHEN region <> 'ASIA' THEN region END AS region,
+                                      CASE WHEN region <> 'ASIA' THEN state END AS state) FROM sales)
+        {REGION_STAR.replace('FROM sales', 'FROM known')}"""),
     "regional_by_store": with_sales(
         f"SELECT store_id, {TOTALS}, {MEAN}, COUNT(*) AS transaction_count FROM sales GROUP BY store_id"
     ),
@@ -166,12 +192,18 @@ ORACLE: dict[str, str] = {
         SELECT {LINE_KEYS},
                CAST(ROUND(list_price - list_price * kept, 2) * qty AS DOUBLE) AS discount_amount
         FROM ({LINES})""",
+    "line_pricing_long": f"""
+        SELECT {LINE_KEYS}, CAST(ROUND(list_price * kept, 2) AS DOUBLE) AS unit_price,
+               CAST(ROUND(list_price * kept * qty, 2) AS DOUBLE) AS line_total,
+               CAST(ROUND(list_price * CAST(1 - kept AS DECIMAL(19,18)), 2) * qty AS DOUBLE) AS discount_amount
+        FROM ({LONG_LINES})""",
     "header_rollup": HEADERS,
+    "header_rollup_long": HEADERS_LONG,
     "header_segments": f"""
         WITH sales AS (
             SELECT CAST(total_amount AS DECIMAL(12,2)) AS amount, o_custkey AS customer_id,
                    c_mktsegment AS customer_segment
-            FROM ({HEADERS}) JOIN orders ON transaction_id = o_orderkey JOIN customer ON o_custkey = c_custkey)
+            FROM ({HEADERS}) LEFT JOIN orders ON transaction_id = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey)
         SELECT {SEGMENT} FROM sales GROUP BY customer_segment""",
     "item_sequence": """
         SELECT l_orderkey AS transaction_id, CAST(l_linenumber AS BIGINT) AS line_number, l_partkey AS sku,
@@ -248,4 +280,16 @@ ORACLE: dict[str, str] = {
                {CUSTOMERS} AS unique_customers, COUNT(DISTINCT store_id) AS active_stores,
                CAST(MIN(ts) AS DATE) AS date_from, CAST(MAX(ts) AS DATE) AS date_to
         FROM sales"""),
+    "pruned_fact": with_sales(f"""
+        SELECT {SEGMENT} FROM sales WHERE YEAR(ts) = 1996 AND MONTH(ts) BETWEEN 4 AND 6 GROUP BY customer_segment"""),
+}
+ORACLE |= {
+    "saved_cohorts_json": ORACLE["customer_cohorts"],
+    "appended_segments": f"{ORACLE['sales_by_segment']} UNION ALL ({ORACLE['sales_by_segment']})",
+    "saved_profile": ORACLE["dataset_info"],
+    "pipeline_cached": ORACLE["pipeline_statistics"],
+    "pipeline_basic_stats": ORACLE["basic_stats_star"],
+    "pipeline_segments": ORACLE["sales_by_segment_share"],
+    "pipeline_regions": ORACLE["regional_star"],
+    "pipeline_time_series": ORACLE["saved_time_series"],
 }

@@ -12,6 +12,7 @@ from storetally.operators.cohorts import customer_cohorts
 from storetally.operators.flatten import FLAT_COLUMNS, flatten
 from storetally.operators.headline import basic_stats, first_row
 from storetally.operators.products import product_performance
+from storetally.operators.profile import dataset_info, dataset_profile
 from storetally.operators.regions import regional_flat, regional_star
 from storetally.operators.segments import sales_by_segment
 from storetally.operators.trends import sales_by_date, sales_by_time
@@ -69,12 +70,16 @@ def save_analyses(
 ) -> dict[str, str]:
     """Writes the four analyses of the star tables; returns their paths by name."""
     trend = sales_by_time(transactions, window, growth=True).withColumn("window_date", F.to_date("window_start"))
-    return {
-        "basic_stats": save_result(basic_stats(transactions, date="date", ratios=True), output_path, "basic_stats"),
-        "customer_segments": save_result(sales_by_segment(transactions, share=True), output_path, "customer_segments"),
-        "regional_analysis": save_result(regional_star(transactions, stores), output_path, "regional_analysis"),
-        "time_series": save_result(trend, output_path, "time_series", ["window_date"]),
+    by_name = {
+        "basic_stats": basic_stats(transactions, date="date", ratios=True),
+        "customer_segments": sales_by_segment(transactions, share=True),
+        "regional_analysis": regional_star(transactions, stores),
+    }
+    # One row, one per segment, one per region and state: small whatever the fact is.
+    paths = {
+        name: save_result(result, output_path, name, one_file=True, json_copy=True) for name, result in by_name.items()
     }
+    return paths | {"time_series": save_result(trend, output_path, "time_series", ["window_date"])}
 
 
 def summary_row(
@@ -99,6 +104,24 @@ def summary_row(
     )
 
 
+def save_dataset_info(profile: DataFrame, path: str, base_path: str) -> str:
+    """The one-row dataset profile with the path of the dataset, as JSON at `<path>/dataset_info.json`."""
+    target = f"{path.rstrip('/')}/dataset_info.json"
+    info = dataset_info(profile).withColumn("base_path", F.lit(base_path))
+    info.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(target)
+    return target
+
+
+def run_profile(spark: SparkSession, input_path: str, output_path: str) -> str:
+    """Profiles the star tables below `input_path`."""
+    profile = dataset_profile(
+        parquet.load_chunks(spark, input_path),
+        parquet.load_stores(spark, input_path),
+        parquet.load_products(spark, input_path),
+    )
+    return save_dataset_info(profile, output_path, input_path)
+
+
 def flat_analyses(sales: DataFrame, window: str = "1 month") -> dict[str, DataFrame]:
     """The six analyses of the flat table by name."""
     return {

@@ -14,6 +14,8 @@ from storetally.functions.lookups import region_premium
 from storetally.functions.money import amount, cents
 from storetally.operators.flatten import flatten
 from storetally.schemas import declared
+from storetally.session import remove_at_end, run_folder
+from storetally.sources.parquet import load_stores
 
 TABLES = {
     "region": declared(r_regionkey="int", r_name="string"),
@@ -57,20 +59,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def unit_price(total: Column, quantity: Column) -> Column:
+def unit_price(total_cents: Column, quantity: Column) -> Column:
     """Total over quantity, rounded half up to cents in whole numbers."""
-    doubled = cents(total) * 2 + quantity
+    doubled = total_cents * 2 + quantity
     return amount(F.floor(doubled / (quantity * 2)))
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity = F.col("l_quantity").cast("bigint")
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select(
         F.col("l_orderkey").alias("transaction_id"),
         F.col("l_partkey").alias("sku"),
         F.col("l_suppkey").alias("store_id"),
         quantity.alias("quantity"),
-        unit_price(F.col("l_extendedprice"), quantity).alias("unit_price"),
+        unit_price(cents(lines, "l_extendedprice"), quantity).alias("unit_price"),
         F.col("l_extendedprice").alias("line_total"),
     )
 
@@ -86,7 +89,7 @@ def header(spark: SparkSession, sf_dir: str, segments: bool = False) -> DataFram
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("customer_segment")
     )
-    return orders.join(customers, "customer_id")
+    return orders.join(customers, "customer_id", "left")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,14 +112,40 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_places(spark: SparkSession, sf_dir: str, sales: DataFrame) -> DataFrame:
+    """Adds region and state by store_id, one plain table after the other.
+
+    Spark estimates a joined dimension as the product of its sides and would
+    shuffle the fact for it; each of these tables is broadcast by its own size.
+    """
+    supplier, nation, region = (table(spark, sf_dir, name) for name in ("supplier", "nation", "region"))
+    return (
+        sales.join(supplier.select(F.col("s_suppkey").alias("store_id"), "s_nationkey"), "store_id", "left")
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .select(*sales.columns, F.col("r_name").alias("region"), F.col("n_name").alias("state"))
+    )
+
+
+def saved_stores(spark: SparkSession, sf_dir: str, leave_out: str | None = None) -> DataFrame:
+    """The stores as a master file, as the analyses find them; `leave_out` is a region without its stores."""
+    path = run_folder(spark, "stores")
+    derived = stores(spark, sf_dir)
+    if leave_out:
+        derived = derived.where(F.col("region") != leave_out)
+    derived.write.parquet(f"{path}/stores_master.parquet")
+    remove_at_end(spark, path)
+    return load_stores(spark, path)
+
+
 def flat_sales(spark: SparkSession, sf_dir: str, *sides: str) -> DataFrame:
     """Flat table with the sides named: header, segments, products, stores."""
-    return flatten(
+    flat = flatten(
         items(spark, sf_dir),
         header(spark, sf_dir, "segments" in sides) if {"header", "segments"} & set(sides) else None,
         products(spark, sf_dir) if "products" in sides else None,
-        stores(spark, sf_dir) if "stores" in sides else None,
     )
+    return with_places(spark, sf_dir, flat) if "stores" in sides else flat
 
 
 def star_sales(spark: SparkSession, sf_dir: str, *sides: str) -> DataFrame:
@@ -142,17 +171,25 @@ TEST_PREMIUM = {"AMERICA": "1.15", "EUROPE": "1.25", "ASIA": "0.95"}
 TEST_SEASONAL = {"AMERICA": "0.6", "EUROPE": "0.7"}
 
 
-def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with list price, regional premium, discount and quantity."""
+def priced_lines(spark: SparkSession, sf_dir: str, discount: str | None = None, without: str | None = None) -> DataFrame:
+    """Lines with list price, regional premium, discount and quantity.
+
+    Prices and discounts of the tables are amounts of two decimals, so they are
+    declared as such; `discount` is another expression for the discount, kept as it is. `without`
+    leaves out the products of one type, whose lines have no price.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("transaction_id"),
         F.col("l_linenumber").cast("bigint").alias("line_number"),
         F.col("l_partkey").alias("sku"),
         F.col("l_suppkey").alias("store_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_discount").alias("discount_pct"),
+        (F.expr(discount) if discount else F.col("l_discount").cast("decimal(15,2)")).alias("discount_pct"),
     )
+    listed = products(spark, sf_dir)
+    if without:
+        listed = listed.where(F.col("category") != without)
+    listed = listed.select("sku", F.col("base_price").cast("decimal(15,2)").alias("base_price"))
     premium = region_premium(F.col("region"), TEST_PREMIUM).alias("price_premium")
-    return lines.join(products(spark, sf_dir).select("sku", "base_price"), "sku").join(
-        stores(spark, sf_dir).select("store_id", premium), "store_id"
-    )
+    placed = with_places(spark, sf_dir, lines.join(listed, "sku", "left"))
+    return placed.select(*lines.columns, "base_price", premium)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # Settings the results depend on. Physical tuning (shuffle partitions, memory,
@@ -14,10 +14,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Money sums are BIGINT cents; with ANSI mode an overflow raises.
     "spark.sql.ansi.enabled": "true",
-    # AQE splits hot join partitions and merges small ones.
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Nanosecond Parquet timestamps arrive as BIGINT, see sources.conform.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
@@ -31,15 +27,30 @@ def build_session(app_name: str = "storetally", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The folder for intermediate data that the cluster names: `spark.checkpoint.dir`, else the warehouse's."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_runs"
+    return base.rstrip("/")
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
-    """A new folder path for one run, below the folder the cluster shares.
-
-    The shared folder is `spark.checkpoint.dir`. Only a local session may leave
-    it unset; a temporary folder of this machine takes its place then.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = os.path.join(tempfile.gettempdir(), "storetally")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new folder path for one run, below the folder the cluster shares."""
+    return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there, wherever Spark can reach it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of intermediate data when Python ends, if the session still runs then."""
+
+    def remove() -> None:
+        try:
+            remove_folder(spark, path)
+        except (Py4JError, ConnectionError, AttributeError, TypeError):
+            return
+
+    atexit.register(remove)

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: results below this many rows get a JSON copy.
-JSON_ROWS = 1000
+from storetally.session import remove_folder
 
 # Names of the metrics and where they come from.
 METRICS = {
@@ -24,30 +23,32 @@ def save_result(
     name: str,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    one_file: bool = False,
+    json_copy: bool = False,
 ) -> str:
-    """Snappy Parquet at `<path>/<name>`, small results also as JSON.
+    """Snappy Parquet at `<path>/<name>`; returns that path. The query runs once.
 
-    The query runs once: size check and JSON copy read the written files. A
-    small result becomes one file since AQE merges small partitions; a large one
-    stays spread over the executors.
+    `one_file` writes a single file, for results known to be small.
+    `json_copy` adds `<name>_summary.json` with every column, NULL too, read from
+    what was written. Without it, a copy of an earlier result is removed. A copy
+    belongs to one written result, so it does not go with `mode="append"`.
     """
+    if json_copy and mode == "append":
+        raise ValueError("a JSON copy shows one result, not all that were appended")
     target = f"{path.rstrip('/')}/{name}"
-    writer = result.write.mode(mode).option("compression", "snappy")
+    writer = (result.coalesce(1) if one_file else result).write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    copy = f"{target}_summary.json"
+    remove_folder(result.sparkSession, copy)
     writer.parquet(target)
-    # The declared schema keeps the types of partition columns.
-    written = result.sparkSession.read.schema(result.schema).parquet(target)
-    if is_small(written):
-        written.coalesce(1).write.mode("overwrite").json(f"{target}_summary.json")
+    if json_copy:
+        # The declared schema keeps the types of partition columns.
+        written = result.sparkSession.read.schema(result.schema).parquet(target)
+        written.coalesce(1).write.option("ignoreNullFields", "false").json(copy)
     return target
 
 
-def is_small(df: DataFrame, rows: int = JSON_ROWS) -> bool:
-    """Fewer than `rows` rows, reading no more than that."""
-    return df.limit(rows).count() < rows
-
-
 def run_metrics(stats: DataFrame) -> DataFrame:
     """Headline statistics as (metric, value, unit) rows."""
     metrics = [

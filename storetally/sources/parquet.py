@@ -38,7 +38,7 @@ MASTERS = {"stores": "stores_master.parquet", "products": "products_master.parqu
 SMALL_INTEGERS = (ByteType, ShortType, IntegerType)
 WIDENS = {
     LongType: SMALL_INTEGERS,
-    DoubleType: (*SMALL_INTEGERS, FloatType, DecimalType),
+    DoubleType: (*SMALL_INTEGERS, FloatType),
     StringType: (*SMALL_INTEGERS, LongType),
     TimestampType: (TimestampNTZType,),
 }
@@ -111,7 +111,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def as_declared(name: str, found: DataType, declared: DataType) -> Column:
     column = F.col(f"`{name}`")
-    if found == declared:
+    # DECIMAL amounts stay as they are: DOUBLE would change long ones.
+    if found == declared or (isinstance(declared, DoubleType) and isinstance(found, DecimalType)):
         return column
     if isinstance(declared, TimestampType) and isinstance(found, LongType):
         # Whole-number division: `/` would go through DOUBLE.

@@ -16,7 +16,7 @@ from fixtures import rows
 from storetally.plans.pipeline import build_flat, run_flat, run_pipeline
 from storetally.session import run_folder
 from storetally.sinks.facts import save_chunks, save_partitioned
-from storetally.sinks.results import is_small, run_metrics, save_result
+from storetally.sinks.results import run_metrics, save_result
 from storetally.sources import parquet
 
 REPO = Path(__file__).parent.parent
@@ -138,14 +138,25 @@ def test_result_is_one_snappy_file_in_order(spark, tmp_path):
     assert spark.read.parquet(path).count() == 100
 
 
-@pytest.mark.parametrize("count, has_json", [(999, True), (1000, False)])
-def test_json_copy_of_small_results(spark, tmp_path, count, has_json):
-    save_result(spark.range(count), str(tmp_path), "ids")
+def test_json_copy_belongs_to_its_result(spark, tmp_path):
     summary = tmp_path / "ids_summary.json"
-    assert summary.exists() == has_json
-    if has_json:
-        assert spark.read.json(str(summary)).count() == count
-    assert is_small(spark.range(count)) == has_json
+    result = spark.range(5000).selectExpr("id", "nullif(id, 3) AS other")
+    save_result(result, str(tmp_path), "ids", json_copy=True)
+    assert spark.read.json(str(summary)).count() == 5000
+    texts = [json.loads(line) for file in summary.glob("part-*") for line in file.read_text().splitlines()]
+    assert {"id": 3, "other": None} in texts
+    save_result(result.limit(5), str(tmp_path), "ids", json_copy=True)
+    assert spark.read.json(str(summary)).count() == 5
+    save_result(result, str(tmp_path), "ids")
+    assert not summary.exists()
+    with pytest.raises(ValueError):
+        save_result(result, str(tmp_path), "ids", mode="append", json_copy=True)
+
+
+def test_one_file_on_demand(spark, tmp_path):
+    many = spark.range(0, 100, 1, 4)
+    assert len(part_files(save_result(many, str(tmp_path), "a"))) == 4
+    assert len(part_files(save_result(many, str(tmp_path), "b", one_file=True))) == 1
 
 
 def test_result_by_partition(spark, tmp_path):

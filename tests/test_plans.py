@@ -6,8 +6,11 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as spark_entry
 from conftest import SF_DIR
+from storetally.operators.regions import regional_star
+from storetally.operators.trends import sales_by_time
+from storetally.plans.catalog import QUERIES
+from storetally.plans.testdata import event_sales
 from storetally.operators.cohorts import customer_cohorts
 from storetally.operators.flatten import flatten
 from storetally.operators.headline import basic_stats
@@ -33,13 +36,14 @@ def settings(spark, **values):
             spark.conf.set(key, value)
 
 
-WRITING = {"chunked_fact", "filtered_fact", "recursive_fact", "partitioned_fact", "pipeline_statistics"}
+WRITING = {"chunked_fact", "filtered_fact", "recursive_fact", "partitioned_fact", "pruned_fact", "appended_segments"}
+WRITING |= {"item_sequence", "regional_star", "regional_star_unknown"} | {n for n in QUERIES if n.startswith("pipeline_")}
 
 
-@pytest.mark.parametrize("name", sorted(n for n in spark_entry.queries() if n not in WRITING and "saved" not in n))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in WRITING and "saved" not in n))
 def test_no_cross_joins_and_no_python(spark, name):
     with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        plan = plan_of(spark_entry.queries()[name](spark, SF_DIR))
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert unwanted not in plan
 
@@ -94,3 +98,30 @@ def test_hot_transaction_is_split_in_the_join(spark, tmp_path):
         (found,) = totals.collect()
         assert "skew=true" in plan_of(totals)
     assert (found["lines"], found["skus"]) == (600_000, 600_000)
+
+
+@pytest.mark.parametrize("name", ["regional_flat", "flat_sales", "line_pricing", "line_discount", "header_rollup", "header_segments"])
+def test_the_fact_is_not_shuffled_by_store(spark, name):
+    """With Spark's own broadcast threshold."""
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert "hashpartitioning(l_suppkey" not in plan and "hashpartitioning(store_id" not in plan
+
+
+def test_regions_of_many_stores_are_broadcast(spark, tmp_path):
+    spark.range(12_000).selectExpr(
+        "id AS store_id", "concat('R', id % 6) AS region", "concat('S', id % 50) AS state"
+    ).coalesce(1).write.parquet(str(tmp_path / "stores"))
+    spark.range(100_000).selectExpr(
+        "id AS transaction_id", "id % 13000 AS store_id", "id % 500 AS customer_id", "1.5D AS total_amount"
+    ).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    found = regional_star(fact, spark.read.parquet(str(tmp_path / "stores")))
+    assert "hashpartitioning(store_id" not in plan_of(found)
+    assert found.where("region IS NULL").count() == 1
+
+
+def test_growth_below_a_day_reads_the_fact_once(spark):
+    growth = sales_by_time(event_sales(spark, SF_DIR), "6 hours", growth=True)
+    growth.collect()
+    final = growth._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 1

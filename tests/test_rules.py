@@ -3,15 +3,18 @@
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import rows
+from storetally.operators.segments import sales_by_segment
+from storetally.functions.money import cents
 from storetally.functions.keys import customer_key, is_hazmat, product_name, sku_key
 from storetally.functions.lookups import month_seasonal, region_premium, region_seasonal
 from storetally.operators.flatten import FLAT_COLUMNS, flatten
 from storetally.operators.pricing import header_totals, price_lines
 from storetally.operators.profile import dataset_info, dataset_profile
-from storetally.operators.sequence import heavy_keys, item_sequence
+from storetally.operators.sequence import item_sequence
 
 CENT = Decimal("0.01")
 
@@ -72,32 +75,49 @@ def line_frame(spark, shares):
     return spark.createDataFrame(lines, "transaction_id bigint, line bigint, sku bigint, row bigint")
 
 
-def test_sequence_of_heavy_and_usual_transactions(spark):
-    frame = line_frame(spark, {1: 4000, 2: 3, 3: 1, 4: 900, None: 5}).withColumn("note", F.lit("x"))
-    spread = F.col("line") * 1000 + F.col("sku")
-    heavy = heavy_keys(frame, "transaction_id", spread, 800).orderBy("transaction_id")
-    assert [row["transaction_id"] for row in heavy.collect()] == [1, 4]
+def numbers(frame, order):
+    """Plain numbering; NULL sorts first."""
     by_key = {}
     for row in rows(frame):
-        by_key.setdefault(row["transaction_id"], []).append((row["line"], row["sku"], row["row"]))
-    expected = {
+        by_key.setdefault(row["transaction_id"], []).append(tuple((row[c] is not None, row[c] or 0) for c in order))
+    return {
         (key, *line): number if key is not None else None
         for key, lines in by_key.items()
         for number, line in enumerate(sorted(lines), 1)
     }
-    for min_rows in (800, 10**6):
-        result = item_sequence(frame, ["line", "sku", "row"], spread, min_rows=min_rows)
-        assert result.columns == [*frame.columns, "item_sequence"]
-        found = {
-            (row["transaction_id"], row["line"], row["sku"], row["row"]): row["item_sequence"] for row in rows(result)
-        }
-        assert found == expected
 
 
-def test_sequence_of_equal_spread(spark):
-    frame = spark.createDataFrame([(1, i) for i in range(20)], "transaction_id bigint, row bigint")
-    result = item_sequence(frame, ["row"], F.lit(3), min_rows=10)
-    assert {row["row"]: row["item_sequence"] for row in rows(result)} == {i: i + 1 for i in range(20)}
+def numbered(frame, order):
+    result = item_sequence(frame, order)
+    assert result.columns == [*frame.columns, "item_sequence"]
+    return {
+        (row["transaction_id"], *((row[c] is not None, row[c] or 0) for c in order)): row["item_sequence"]
+        for row in rows(result)
+    }
+
+
+def test_sequence_of_heavy_and_usual_transactions(spark):
+    frame = line_frame(spark, {1: 4000, 2: 3, 3: 1, 4: 900, None: 5}).withColumn("note", F.lit("x"))
+    order = ["line", "sku", "row"]
+    assert numbered(frame, order) == numbers(frame, order)
+
+
+def test_sequence_with_missing_order_values(spark):
+    lines = [(1, 1, 5, 0), (1, 1, None, 1), (1, 2, 3, 2), (1, None, 9, 3), (1, 2, None, 4), (1, 2, 1, 5), (None, 1, 1, 6)]
+    frame = spark.createDataFrame(lines, "transaction_id bigint, line bigint, sku bigint, row bigint")
+    assert numbered(frame, ["line", "sku", "row"]) == numbers(frame, ["line", "sku", "row"])
+
+
+def test_sequence_of_one_transaction_and_an_outlier(spark):
+    frame = spark.range(20_000).select(
+        F.when(F.col("id") < 3, F.col("id")).otherwise(F.lit(7)).alias("transaction_id"),
+        F.when(F.col("id") == 19_999, F.lit(10**15)).otherwise(F.col("id") % 50).alias("line"),
+        F.col("id").alias("row"),
+    )
+    result = item_sequence(frame, ["line", "row"])
+    assert numbered(frame, ["line", "row"]) == numbers(frame, ["line", "row"])
+    # The heavy transaction is spread over slices.
+    assert result.where("transaction_id = 7").count() == 19_997
 
 
 def test_lookups(spark):
@@ -119,6 +139,8 @@ def test_keys_and_names(spark):
         "PRO_1234567890",
     ]
     assert frame.select(sku_key(F.col("number"))).first()[0] == "P7"
+    missing = spark.createDataFrame([(None, 1), ("Commercial", None)], "segment string, number bigint")
+    assert [row[0] for row in missing.select(customer_key(F.col("segment"), F.col("number"))).collect()] == [None, None]
     parts = spark.createDataFrame(
         [("Premium", "Primers", "", "Flat", "Quart")], "b string, c string, d string, e string, f string"
     )
@@ -141,10 +163,10 @@ def test_flatten_keeps_lines_of_unknown_products_and_stores(spark):
     stores = spark.createDataFrame([(10, "West", "CA")], "store_id bigint, region string, state string")
     flat = flatten(items, header, products, stores).select(*FLAT_COLUMNS)
     found = sorted(
-        (row["customer_id"], row["product_category"] or "", row["state"] or "", row["transaction_total"])
+        (row["customer_id"] or "none", row["product_category"] or "", row["state"] or "", row["transaction_total"])
         for row in rows(flat)
     )
-    assert found == [("C1", "", "CA", 2.0), ("C1", "Primers", "CA", 3.0), ("C2", "Primers", "", 1.5)]
+    assert found == [("C1", "", "CA", 2.0), ("C1", "Primers", "CA", 3.0), ("C2", "Primers", "", 1.5), ("none", "Primers", "", 1.5)]
 
 
 def test_profile(spark):
@@ -161,3 +183,28 @@ def test_profile(spark):
             "chunks_generated": 2,
         }
     ]
+
+
+def test_money_keeps_every_digit(spark):
+    exact = spark.sql("SELECT CAST(1.005 AS DECIMAL(5,3)) AS a, CAST('900719925474099.93' AS DECIMAL(17,2)) AS b, 0.004D AS c, 1.1D AS d")
+    a, b, d = exact.select(cents(exact, "a"), cents(exact, "b"), cents(exact, "d")).first()
+    assert (a, b, d) == (Decimal("100.5"), Decimal("90071992547409993"), 110)
+    with pytest.raises(Exception, match="more than two decimals"):
+        exact.select(cents(exact, "c")).collect()
+    many = spark.range(1000).select(F.lit("S").alias("customer_segment"), F.lit(1).alias("customer_id"), F.lit(Decimal("0.004")).alias("total_amount"))
+    assert sales_by_segment(many).first()["total_revenue"] == 4.0
+
+
+def test_pricing_by_declared_types(spark):
+    """Whole numbers and DECIMALs give the same prices; unknown products have none."""
+    lines = spark.createDataFrame(
+        [(1, 19.99, 1.15, 0.05, 3), (1, 0.05, None, 0.1, 7), (2, None, 1.25, 0.0, 1)],
+        "transaction_id bigint, base_price double, price_premium double, discount_pct double, quantity bigint",
+    )
+    declared = lines.withColumns(
+        {"base_price": F.col("base_price").cast("decimal(12,2)"), "price_premium": F.col("price_premium").cast("decimal(5,4)"), "discount_pct": F.col("discount_pct").cast("decimal(9,6)")}
+    )
+    names = ["unit_price", "line_total", "discount_amount"]
+    assert price_lines(lines).select(*names).collect() == price_lines(declared).select(*names).collect()
+    assert sorted(header_totals(lines).collect()) == sorted(header_totals(declared).collect())
+    assert price_lines(lines).where("transaction_id = 2").select(*names).first() == (None, None, None)
