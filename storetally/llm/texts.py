@@ -6,16 +6,16 @@ A word, and a run of words (shingle), is known by a 64-bit hash.
 
 from __future__ import annotations
 
-import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+from storetally.session import remove_at_end, shared_base
+
 SLICE_BYTES = 1 << 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
@@ -162,20 +162,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate data that the cluster shares: `spark.checkpoint.dir`.
-
-    A session of a cluster must name it. A local session without it gets one
-    below its working folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return "spark-warehouse/checkpoints"
-
-
 @contextmanager
 def _own_shuffles(spark: SparkSession) -> Iterator[None]:
     """What runs inside leaves no shuffle files: its result is kept elsewhere, so nothing reads them again."""
@@ -192,7 +178,7 @@ def shared_checkpoint(frame: DataFrame) -> DataFrame:
     """`frame` computed once and kept in the shared folder, so that no later stage repeats it."""
     spark = frame.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        spark.sparkContext.setCheckpointDir(shared_base(spark))
     with _own_shuffles(spark):
         return frame.checkpoint(eager=True)
 
@@ -200,17 +186,8 @@ def shared_checkpoint(frame: DataFrame) -> DataFrame:
 def shared_table(frame: DataFrame, label: str) -> DataFrame:
     """Like `shared_checkpoint`, for larger data: written as Parquet and read again; removed when Python ends."""
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
     with _own_shuffles(spark):
         frame.write.parquet(path)
-    atexit.register(remove, spark, path)
+    remove_at_end(spark, path)
     return spark.read.parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of intermediate data, if the session still runs."""
-    try:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    except (Py4JError, ConnectionError, AttributeError, TypeError):
-        return
