@@ -37,6 +37,7 @@ from storetally.llm.texts import (
     fresh,
     mix,
     shared_checkpoint,
+    shared_table,
     shingle_hashes,
     signed,
     slices,
@@ -423,18 +424,22 @@ def ngram_join(
     An empty table gives no rows.
     """
     source = docs.select("doc_id", F.col(text).alias("text"))
-    classes = shared_checkpoint(
-        source.mapInArrow(_classes(size), "doc_id bigint, n_shingles bigint, node bigint, class string, point binary")
+    # A table is computed once; a checkpoint would run its last stage, here all of it, twice.
+    classes = shared_table(
+        source.mapInArrow(_classes(size), "doc_id bigint, n_shingles bigint, node bigint, class string, point binary"),
+        "classes",
     )
     shards = source.select("text").mapInArrow(
         _shard_rows(size, numerator, denominator), "key bigint, node bigint"
     )
     # A range of (key, node) may end inside a shard, so that a hot shard is spread over tasks.
-    meetings = (
+    # Kept, so that the shuffle of all keys is gone before points are dealt to the shards.
+    meetings = shared_table(
         shards.repartitionByRange("key", "node")
         .sortWithinPartitions("key", "node")
         .mapInArrow(_meetings, "shard bigint, node bigint")
-        .distinct()
+        .distinct(),
+        "meetings",
     )
     representatives = classes.filter("class IS NOT NULL").groupBy("class", "node").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.max("point").alias("point")
