@@ -8,7 +8,7 @@ byte pieces, so that decoding gives the text back exactly.
 
 Pieces that hold a word boundary mark have it only in front, so a text is cut
 before each run of marks; words repeat, and a task keeps the segmentations of
-the words it has met, up to `KEPT_WORDS`. A vocabulary with other pieces is
+the words it has met: the last `KEPT_WORDS`, and as many before them. A vocabulary with other pieces is
 handled too, by segmenting whole texts.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -58,6 +59,11 @@ class Vocabulary:
         )
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; holds the automaton and the segmentations met so far."""
 
@@ -75,6 +81,7 @@ class Codec:
         rest = f"[^{MARK}]+" if "\n" in known else f"[^{MARK}\n]+"
         self.words = re.compile(f"{MARK}*{rest}|{MARK}+|\n+" if apart else "(?s).+")
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @cached_property
     def spellings(self) -> list[bytes]:
@@ -91,40 +98,56 @@ class Codec:
         size = len(word)
         best = [float("-inf")] * (size + 1)
         best[0] = 0.0
-        length, number = [1] * (size + 1), [-1] * (size + 1)
-        single, penalty = self.single, self.penalty
-        relaxed = 0
-        for last, (piece, score, count) in self.automaton.iter(word):
-            stop = last + 1
-            while relaxed < last:
-                # Positions before `stop` have met all pieces that end there.
-                relaxed += 1
-                if word[relaxed - 1] not in single and best[relaxed - 1] + penalty > best[relaxed]:
-                    best[relaxed], length[relaxed], number[relaxed] = best[relaxed - 1] + penalty, 1, -1
-            total = best[stop - count] + score
-            if total > best[stop]:
-                best[stop], length[stop], number[stop] = total, count, piece
-        while relaxed < size:
-            relaxed += 1
-            if word[relaxed - 1] not in single and best[relaxed - 1] + penalty > best[relaxed]:
-                best[relaxed], length[relaxed], number[relaxed] = best[relaxed - 1] + penalty, 1, -1
+        # The piece that ends at each position in the best way; None is an unknown character.
+        ends: list[tuple[int, float, int] | None] = [None] * (size + 1)
+        if self.single.issuperset(word):
+            for last, hit in self.automaton.iter(word):
+                stop = last + 1
+                total = best[stop - hit[2]] + hit[1]
+                if total > best[stop]:
+                    best[stop], ends[stop] = total, hit
+        else:
+            self._relax_unknown(word, best, ends)
         found: list[int] = []
         while size:
-            if number[size] >= 0:
-                found.append(number[size])
+            hit = ends[size]
+            if hit:
+                found.append(hit[0])
+                size -= hit[2]
             else:
                 found += self._spelt(word[size - 1])[::-1]
-            size -= length[size]
+                size -= 1
         return found[::-1]
 
+    def _relax_unknown(self, word: str, best: list[float], ends: list[tuple[int, float, int] | None]) -> None:
+        """The same pass over a word with characters that no piece covers alone."""
+        single, penalty = self.single, self.penalty
+        relaxed = 0
+
+        def unknown(until: int) -> None:
+            nonlocal relaxed
+            # Positions up to `until` have met all pieces that end there.
+            while relaxed < until:
+                relaxed += 1
+                total = best[relaxed - 1] + penalty
+                if word[relaxed - 1] not in single and total > best[relaxed]:
+                    best[relaxed], ends[relaxed] = total, None
+
+        for last, hit in self.automaton.iter(word):
+            unknown(last)
+            total = best[last + 1 - hit[2]] + hit[1]
+            if total > best[last + 1]:
+                best[last + 1], ends[last + 1] = total, hit
+        unknown(len(word))
+
     def _spelt(self, character: str) -> list[int]:
         byte_ids = self.vocabulary.byte_ids
         return [byte_ids[b] for b in character.encode()] if byte_ids else [self.vocabulary.unknown]
 
     def _word(self, word: str) -> bytes:
-        ids = np.array(self.segment(word), dtype="<i4").tobytes()
+        ids = self.older.get(word) or _packed(self.segment(word))
         if len(self.kept) >= KEPT_WORDS:
-            self.kept.clear()
+            self.older, self.kept = self.kept, {}
         self.kept[word] = ids
         return ids
 
@@ -134,14 +157,13 @@ class Codec:
             return b""
         if MARK in text:
             # A mark of the text itself is spelt by bytes, or it would come back as a space.
-            spelt = np.array(self._spelt(MARK), dtype="<i4").tobytes()
+            spelt = _packed(self._spelt(MARK))
             parts = (" " + text).split(MARK)
             return spelt.join(self._marked(part.replace(" ", MARK)) for part in parts)
         return self._marked(MARK + text.replace(" ", MARK))
 
     def _marked(self, text: str) -> bytes:
-        kept = self.kept
-        return b"".join([kept.get(word) or self._word(word) for word in self.words.findall(text)])
+        return b"".join([self.kept.get(word) or self._word(word) for word in self.words.findall(text)])
 
     def decode(self, ids: bytes) -> str:
         spellings = self.spellings
