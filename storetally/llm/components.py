@@ -85,8 +85,9 @@ def components(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFr
     edges = shared_checkpoint(edges.repartition(max(1, tasks)).mapInArrow(_stars, edges.schema).distinct())
     while tasks > 1:
         edges = shared_checkpoint(_small_star(_large_star(edges)))
-        # Done when no root has an edge of its own.
-        if edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi").isEmpty():
+        # Done when every node has one edge and no root has an edge of its own.
+        several = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1")
+        if several.isEmpty() and edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi").isEmpty():
             break
     roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

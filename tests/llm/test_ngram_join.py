@@ -105,3 +105,11 @@ def test_components(spark, edges_per_task):
     nodes = {i for a, b in pairs if a != b for i in (a, b)}
     assert found == {i: want[i] for i in nodes}
     assert components(edges.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("path", [[1, 3, 4, 5, 2], [2, 5, 4, 3, 1, 6], [1, 4, 7, 5, 8, 6, 2, 3]])
+def test_chain_over_several_tasks(spark, path):
+    """A node may be left with edges to two roots when no root has an edge of its own."""
+    edges = spark.createDataFrame(list(zip(path, path[1:])), "u bigint, v bigint")
+    for edges_per_task in (1, 2):
+        assert {tuple(row) for row in components(edges, edges_per_task).collect()} == {(node, 1) for node in path}
