@@ -4,15 +4,15 @@ The standard library's parser streams events. Block elements cut a page into
 lines; menus, headers, footers, sidebars, notices, adverts, forms, reader
 comments, scripts and styles are left out by their element, role, class or id. Each line
 has a ratio of characters to tags. The ratios are smoothed by a Gaussian and
-split at a threshold; the lines above it tell which containers hold the
-content. All lines of those containers are the text, so that a short paragraph
-of an article is not lost.
+split in two clusters, if these are clearly apart; all lines are in the upper
+one otherwise. If there are articles (article, main), they are the content. Otherwise it is the smallest
+container that holds the whole upper cluster; a container of one line counts as
+a line. All lines below are the text, so that a short paragraph is not lost.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -32,7 +32,8 @@ LEFT_OUT = frozenset(
     "head title nav footer aside form script style noscript template button select textarea iframe object svg "
     "canvas dialog menu header".split()
 )
-CONTAINERS = frozenset("article main section div td body html blockquote".split())
+# Sections and quotes are parts of a text.
+CONTAINERS = frozenset("article main div td body html".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 LEFT_OUT_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu "
@@ -42,6 +43,8 @@ LEFT_OUT_NAMES = frozenset(
 )
 COMMENT_NAMES = frozenset("comment comments commentlist discussion disqus replies".split())
 SMOOTHING = 1.0
+# Least ratio of the two clusters' means.
+APART = 3.0
 
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
@@ -57,7 +60,8 @@ class _Lines(HTMLParser):
         self.tags = 0
         # Open elements: tag, left out, is a comment, container, article (0: none).
         self.open: list[tuple[str, bool, bool, int, int]] = [("", False, False, 0, 0)]
-        self.made = 0
+        # The container around each container; 0 is the page.
+        self.around = [0]
 
     def cut(self) -> None:
         """Ends the line."""
@@ -98,10 +102,10 @@ class _Lines(HTMLParser):
         else:
             out = False
         if tag in CONTAINERS:
-            self.made += 1
-            container = self.made
+            self.around.append(container)
+            container = len(self.around) - 1
             if tag in ("article", "main") and not article and not out:
-                article = self.made
+                article = container
         self.open.append((tag, out, comment, container, article))
 
     def _close_implied(self, tag: str) -> None:
@@ -148,7 +152,7 @@ def _smoothed(ratios: np.ndarray) -> np.ndarray:
 
 
 def _above(ratios: np.ndarray) -> np.ndarray:
-    """Lines of the upper of two clusters of smoothed ratios; their border is moved until it rests."""
+    """Lines of the upper of two clusters of smoothed ratios, all if they are not `APART`; their border is moved until it rests."""
     smooth = _smoothed(ratios)
     border = smooth.mean()
     for _ in range(20):
@@ -159,7 +163,28 @@ def _above(ratios: np.ndarray) -> np.ndarray:
         if abs(moved - border) < 1e-9:
             break
         border = moved
-    return smooth >= border
+    upper = smooth >= border
+    if not upper.all() and smooth[upper].mean() < APART * smooth[~upper].mean():
+        upper[:] = True
+    return upper
+
+
+def _below(wanted: list[int], lines: list[int], around: list[int]) -> list[bool]:
+    """Of each of `lines` (containers), whether it is below the smallest container of several lines that holds all of `wanted`."""
+    # Containers are numbered from the outside in.
+    counts, held = [0] * len(around), [0] * len(around)
+    for container in lines:
+        counts[container] += 1
+    for container in wanted:
+        held[container] += 1
+    for container in range(len(around) - 1, 0, -1):
+        counts[around[container]] += counts[container]
+        held[around[container]] += held[container]
+    region = max(c for c in range(len(around)) if held[c] == len(wanted) and (counts[c] > 1 or not c))
+    inside = [False] * len(around)
+    for container in range(region, len(around)):
+        inside[container] = container == region or inside[around[container]]
+    return [inside[container] for container in lines]
 
 
 def main_text(html: str | None) -> str:
@@ -174,18 +199,12 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     above = _above(np.array([len(text) / tags for text, tags, _, _ in lines]))
-    weight: dict[tuple[bool, int], int] = defaultdict(int)
-    for (text, _, container, article), chosen in zip(lines, above):
-        if chosen:
-            weight[(article > 0, article or container)] += len(text)
     if any(article for _, _, _, article in lines):
-        # An article holds its sections, so its element is the region; text beside articles is not content.
-        regions = {number for is_article, number in weight if is_article} or {
-            max((article for _, _, _, article in lines if article), key=lambda one: sum(len(t) for t, _, _, a in lines if a == one))
-        }
-        return "\n".join(text for text, _, _, article in lines if article in regions)
-    regions = {number for _, number in weight}
-    return "\n".join(text for text, _, container, _ in lines if container in regions)
+        # Articles hold their sections, so all lines of them are content; text beside them is not.
+        return "\n".join(text for text, _, _, article in lines if article)
+    containers = [container for _, _, container, _ in lines]
+    wanted = [container for container, chosen in zip(containers, above) if chosen]
+    return "\n".join(text for (text, _, _, _), kept in zip(lines, _below(wanted, containers, page.around)) if kept)
 
 
 def extract(pages: DataFrame, html: str = "html", name: str = "text") -> DataFrame:

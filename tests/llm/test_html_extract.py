@@ -70,3 +70,31 @@ def test_rows_and_columns_stay(spark):
     assert found.columns == ["page_id", "html", "url", "n", "main"]
     assert sorted(row["main"] for row in found.collect()) == ["", "a", "a"]
     assert extract(pages.limit(0)).collect() == []
+
+
+LONG = "<p>" + "A long paragraph of the text that goes on for a while. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "short",
+    [
+        "<blockquote>Quote.</blockquote>",
+        "<section><p>One.</p><p>Two.</p></section>",
+        "<table><tr><td>a</td><td>b</td></tr></table>",
+        "<div>Short.</div>",
+        "<div><p>One.</p></div><div><p>Two.</p></div>",
+    ],
+)
+def test_short_parts_stay(short):
+    page = f"<body><div class='nav'><a>menu</a></div><div>{LONG * 5}{short}{short}{short}{short}{LONG * 5}</div></body>"
+    text = main_text(page).split("\n")
+    assert len(text) > 10 and text.count(LONG[3:-4].strip()) == 10 and "menu" not in text
+    for word in ("Quote.", "One.", "Two.", "a", "b", "Short."):
+        assert text.count(word) == 4 * (f">{word}<" in short)
+    wrapped = f"<body><div>{''.join(f'<div>{part}</div>' for part in (LONG, '<p>Short.</p>', LONG, '<p>Tiny.</p>', '<p>Tiny.</p>'))}</div></body>"
+    assert main_text(wrapped).count("Tiny.") == 2
+
+
+def test_short_article_beside_long_ones():
+    text = main_text(f"<article>{LONG * 9}</article><article><p>Brief.</p><p>End.</p></article><article>{LONG * 9}</article>")
+    assert text.count("Brief.") == text.count("End.") == 1
