@@ -5,7 +5,8 @@ lines; menus, headers, footers, sidebars, notices, adverts, forms, reader
 comments, scripts and styles are left out by their element, role, class or id. Each line
 has a ratio of characters to tags. The ratios are smoothed by a Gaussian and
 split in two clusters, if these are clearly apart; all lines are in the upper
-one otherwise. If there are articles (article, main), they are the content. Otherwise it is the smallest
+one otherwise. If the upper cluster has at least half of its characters in
+articles (article, main), these are the content. Otherwise it is the smallest
 container that holds the whole upper cluster; a container of one line counts as
 a line. All lines below are the text, so that a short paragraph is not lost.
 """
@@ -199,7 +200,11 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     above = _above(np.array([len(text) / tags for text, tags, _, _ in lines]))
-    if any(article for _, _, _, article in lines):
+    weight = {True: 0, False: 0}
+    for (text, _, _, article), chosen in zip(lines, above):
+        if chosen:
+            weight[article > 0] += len(text)
+    if weight[True] >= weight[False]:
         # Articles hold their sections, so all lines of them are content; text beside them is not.
         return "\n".join(text for text, _, _, article in lines if article)
     containers = [container for _, _, container, _ in lines]

@@ -75,6 +75,14 @@ def test_rows_and_columns_stay(spark):
 LONG = "<p>" + "A long paragraph of the text that goes on for a while. " * 6 + "</p>"
 
 
+def test_ratios_choose_beside_an_article():
+    """A short teaser in an article does not keep the page's text out."""
+    text = main_text(f"<body><div><a>x</a> <a>y</a></div><div>{LONG * 4}<article><p>Read on.</p></article></div></body>")
+    assert text.count("A long paragraph") == 24 and "x" not in text.split("\n")
+    inside = main_text(f"<body><div><a>x</a> <a>y</a></div><article>{LONG * 4}</article></body>")
+    assert inside.count("A long paragraph") == 24 and "y" not in inside
+
+
 @pytest.mark.parametrize(
     "short",
     [
