@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from storetally.llm import (
     ann,
     decontamination,
+    exact_dedup,
     html_extract,
     ngram_join,
     pieces,
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_decontamination": decontamination.op10_decontamination,
+    "op11_exact_dedup": exact_dedup.op11_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op2_ngram_join": ngram_join.ORACLE,
     "op4_url_filter": url_filter.oracle(),
     "op10_decontamination": decontamination.ORACLE,
+    "op11_exact_dedup": exact_dedup.ORACLE,
 }
