@@ -18,6 +18,7 @@ from storetally.llm import (
     token_counts,
     toxicity,
     url_filter,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_decontamination": decontamination.op10_decontamination,
     "op11_exact_dedup": exact_dedup.op11_exact_dedup,
+    "op12_whitening": whitening.op12_whitening,
 }
 
 ORACLE: dict[str, str] = {
