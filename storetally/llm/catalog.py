@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storetally.llm import (
     ann,
+    conversation_repair,
     decontamination,
     exact_dedup,
     html_extract,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": decontamination.op10_decontamination,
     "op11_exact_dedup": exact_dedup.op11_exact_dedup,
     "op12_whitening": whitening.op12_whitening,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
