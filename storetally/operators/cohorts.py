@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storetally.functions.money import amount as as_amount
-from storetally.functions.money import cents
+from storetally.functions.exact import summed
 
 
 def customer_cohorts(
@@ -22,23 +21,20 @@ def customer_cohorts(
     a customer safe. The per-customer steps share one shuffle, and counting
     customers needs no distinct.
     """
+    known = sales.where(F.col("customer_id").isNotNull())
+    priced, sums = summed(known, amount, ["customer_id", F.to_date(time).alias("day")])
     kind = "timestamp_ntz" if dict(sales.dtypes)[time] == "timestamp_ntz" else "timestamp"
-    daily = (
-        sales.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id", F.to_date(time).alias("day"))
-        .agg(F.sum(cents(sales, amount)).alias("cents"))
-    )
+    daily = priced.groupBy("customer_id", "day").agg(*sums.sums())
     dated = daily.withColumn("first_day", F.min("day").over(Window.partitionBy("customer_id")))
     per_customer = dated.groupBy(
         "customer_id",
         F.trunc("first_day", "month").alias("cohort"),
         F.floor(F.months_between("day", "first_day")).alias("month_number"),
-    ).agg(F.sum("cents").alias("cents"))
+    ).agg(*sums.sums())
+    wide = F.sum(F.col(sums.name).cast("decimal(38,10)")).alias(sums.name)
     return (
         per_customer.groupBy(F.col("cohort").cast(kind).alias("cohort_month"), "month_number")
-        .agg(
-            F.count("*").alias("active_customers"),
-            as_amount(F.sum(F.col("cents").cast("decimal(38,0)"))).alias("total_revenue"),
-        )
+        .agg(F.count("*").alias("active_customers"), wide, *sums.sums()[1:])
+        .select("cohort_month", "month_number", "active_customers", sums.total().alias("total_revenue"))
         .orderBy("cohort_month", "month_number")
     )

@@ -7,13 +7,14 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storetally.functions.money import cents, ratio_or_zero
-from storetally.operators.rollup import add_up, average, in_one_pass, revenue, totals
+from storetally.functions.exact import Sums, summed
+from storetally.functions.money import ratio_or_zero
+from storetally.operators.rollup import add_up, in_one_pass
 
 
 def basic_stats(
     sales: DataFrame,
-    amount: str = "total_amount",
+    amount: str | Sums = "total_amount",
     date: str | None = None,
     ratios: bool = False,
     one_pass: bool = False,
@@ -26,19 +27,20 @@ def basic_stats(
     """
     days = [F.to_date(date).alias("day")] if date else []
     spans = [F.min("day").alias("date_from"), F.max("day").alias("date_to")] if date else []
-    priced = sales.select("store_id", "customer_id", cents(sales, amount).alias("cents"), *days)
+    priced, sums = summed(sales, amount, ["store_id", "customer_id", *days])
     if one_pass:
-        stats = in_one_pass(priced, extra=spans)
+        stats = in_one_pass(priced, sums, extra=spans)
     else:
         stats = add_up(
-            priced.groupBy("store_id").agg(*totals(), *spans),
+            priced.groupBy("store_id").agg(*sums.totals(), *spans),
             priced.select("customer_id").distinct(),
+            sums,
             extra=[F.min("date_from").alias("date_from"), F.max("date_to").alias("date_to")] if date else [],
         )
     columns = [
         F.col("row_count").alias("total_transactions"),
-        revenue().alias("total_revenue"),
-        average().alias("avg_transaction_value"),
+        sums.total().alias("total_revenue"),
+        sums.average().alias("avg_transaction_value"),
         F.col("customers").alias("unique_customers"),
         F.col("stores").alias("active_stores"),
     ]
@@ -46,7 +48,7 @@ def basic_stats(
         columns += ["date_from", "date_to"]
     if ratios:
         columns += [
-            ratio_or_zero(revenue(), F.col("customers")).alias("revenue_per_customer"),
+            ratio_or_zero(F.col("total_revenue"), F.col("customers")).alias("revenue_per_customer"),
             ratio_or_zero(F.col("row_count"), F.col("stores")).alias("transactions_per_store"),
         ]
     return stats.select(*columns)
@@ -54,14 +56,14 @@ def basic_stats(
 
 def mini_stats(sales: DataFrame, amount: str = "total_amount") -> DataFrame:
     """Count, revenue and mean only."""
-    return sales.agg(
-        F.count("*").alias("row_count"),
-        F.count(amount).alias("priced"),
-        F.sum(cents(sales, amount)).alias("cents"),
-    ).select(
-        F.col("row_count").alias("total_transactions"),
-        revenue().alias("total_revenue"),
-        average().alias("avg_transaction_value"),
+    priced, sums = summed(sales, amount)
+    return (
+        priced.agg(*sums.totals())
+        .select(
+            F.col("row_count").alias("total_transactions"),
+            sums.total().alias("total_revenue"),
+            sums.average().alias("avg_transaction_value"),
+        )
     )
 
 

@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storetally.functions.money import cents
-from storetally.operators.rollup import average, in_one_pass, revenue, totals
+from storetally.functions.exact import Sums, summed
+from storetally.operators.rollup import in_one_pass
 
 PLACE = ["region", "state"]
 
 
 def regional_flat(sales: DataFrame, amount: str = "transaction_total") -> DataFrame:
     """Revenue, mean, stores and customers per region and state of a flat table."""
+    priced, sums = summed(sales, amount, [*PLACE, "store_id", "customer_id"])
     return (
-        in_one_pass(sales.select(*PLACE, "store_id", "customer_id", cents(sales, amount).alias("cents")), PLACE)
+        in_one_pass(priced, sums, PLACE)
         .select(
             *PLACE,
-            revenue().alias("total_revenue"),
-            average().alias("avg_transaction_value"),
+            sums.total().alias("total_revenue"),
+            sums.average().alias("avg_transaction_value"),
             F.col("stores").alias("store_count"),
             F.col("customers").alias("customer_count"),
         )
@@ -26,7 +27,7 @@ def regional_flat(sales: DataFrame, amount: str = "transaction_total") -> DataFr
     )
 
 
-def regional_star(sales: DataFrame, stores: DataFrame, amount: str = "total_amount") -> DataFrame:
+def regional_star(sales: DataFrame, stores: DataFrame, amount: str | Sums = "total_amount") -> DataFrame:
     """The same from fact and stores; sales of unknown stores form a NULL group.
 
     `store_id` must be unique in `stores` (`sources.check_unique`). The fact
@@ -41,16 +42,17 @@ def regional_star(sales: DataFrame, stores: DataFrame, amount: str = "total_amou
     places = named.groupBy(*PLACE).agg(F.min("store_id").alias("place"))
     # A window keeps the size of the stores; a self-join would be estimated far larger.
     known = named.withColumn("place", F.min("store_id").over(Window.partitionBy(*PLACE)))
-    placed = sales.select("store_id", "customer_id", cents(sales, amount).alias("cents")).join(
+    priced, sums = summed(sales, amount, ["store_id", "customer_id"])
+    placed = priced.join(
         known.select("store_id", "place"), "store_id", "left"
     )
     return (
-        in_one_pass(placed, ["place"])
+        in_one_pass(placed, sums, ["place"])
         .join(places, "place", "left")
         .select(
             *PLACE,
-            revenue().alias("total_revenue"),
-            average().alias("avg_transaction_value"),
+            sums.total().alias("total_revenue"),
+            sums.average().alias("avg_transaction_value"),
             F.col("row_count").alias("transaction_count"),
             F.col("stores").alias("store_count"),
             F.col("customers").alias("customer_count"),
@@ -61,14 +63,14 @@ def regional_star(sales: DataFrame, stores: DataFrame, amount: str = "total_amou
 
 def regional_by_store(sales: DataFrame, amount: str = "total_amount") -> DataFrame:
     """Revenue, mean and count per store, for use without a stores table."""
+    priced, sums = summed(sales, amount, ["store_id"])
     return (
-        sales.select("store_id", cents(sales, amount).alias("cents"))
-        .groupBy("store_id")
-        .agg(*totals())
+        priced.groupBy("store_id")
+        .agg(*sums.totals())
         .select(
             "store_id",
-            revenue().alias("total_revenue"),
-            average().alias("avg_transaction_value"),
+            sums.total().alias("total_revenue"),
+            sums.average().alias("avg_transaction_value"),
             F.col("row_count").alias("transaction_count"),
         )
         .orderBy(F.desc("total_revenue"))

@@ -16,30 +16,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storetally.functions.money import amount
+from storetally.functions.exact import Sums
 
 
-def totals() -> list[Column]:
-    """Aggregates over a `cents` column: rows, rows with an amount, cents."""
-    return [
-        F.count("*").alias("row_count"),
-        F.count("cents").alias("priced"),
-        F.sum("cents").alias("cents"),
-    ]
-
-
-def in_one_pass(sales: DataFrame, groups: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:
-    """`totals`, distinct stores and distinct customers per group."""
+def in_one_pass(sales: DataFrame, sums: Sums, groups: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:
+    """Totals, distinct stores and distinct customers per group."""
     return sales.groupBy(*groups).agg(
-        *totals(),
+        *sums.totals(),
         F.countDistinct("store_id").alias("stores"),
         F.countDistinct("customer_id").alias("customers"),
         *extra,
     )
 
 
-def add_up(stores: DataFrame, customers: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
-    """The same over the whole table, from `totals` per store and distinct customers.
+def add_up(stores: DataFrame, customers: DataFrame, sums: Sums, extra: Sequence[Column] = ()) -> DataFrame:
+    """The same over the whole table, from totals per store and distinct customers.
 
     `extra` are aggregates over further columns of `stores`.
     """
@@ -48,17 +39,9 @@ def add_up(stores: DataFrame, customers: DataFrame, extra: Sequence[Column] = ()
     return present.unionByName(counted, allowMissingColumns=True).agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum("priced"), F.lit(0)).alias("priced"),
-        F.sum(F.col("cents").cast("decimal(38,10)")).alias("cents"),
+        F.sum(F.col(sums.name).cast("decimal(38,10)")).alias(sums.name),
+        *[F.sum(name).alias(name) for name in sums.names[1:]],
         F.coalesce(F.sum("stores"), F.lit(0)).alias("stores"),
         F.coalesce(F.sum("customers"), F.lit(0)).alias("customers"),
         *extra,
     )
-
-
-def revenue() -> Column:
-    return amount("cents")
-
-
-def average() -> Column:
-    """Mean over the rows that have an amount."""
-    return F.try_divide(amount("cents"), F.col("priced").cast("double"))

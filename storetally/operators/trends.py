@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storetally.functions.money import cents
+from storetally.functions.exact import Sums, summed
 from storetally.functions.periods import is_shorter_than_a_day, window_end, window_start
-from storetally.operators.rollup import average, revenue, totals
 
 
 def sales_by_date(
@@ -16,12 +15,13 @@ def sales_by_date(
     """Revenue, count and distinct customers per window; times are cut to days first."""
     kind = _time_type(sales, time)
     day = F.to_date(time).cast(kind)
+    windows, sums = _per_window(sales, day, window, amount, kind)
     return (
-        _per_window(sales, day, window, amount, kind)
+        windows
         .select(
             "window_start",
             "window_end",
-            revenue().alias("total_revenue"),
+            sums.total().alias("total_revenue"),
             F.col("row_count").alias("transaction_count"),
             "unique_customers",
         )
@@ -32,7 +32,7 @@ def sales_by_date(
 def sales_by_time(
     sales: DataFrame,
     window: str = "1 month",
-    amount: str = "total_amount",
+    amount: str | Sums = "total_amount",
     time: str = "timestamp",
     growth: bool = False,
 ) -> DataFrame:
@@ -42,22 +42,22 @@ def sales_by_time(
     """
     kind = _time_type(sales, time)
     moment = F.col(time).cast(kind)
-    windows = _per_window(sales, moment, window, amount, kind)
+    windows, sums = _per_window(sales, moment, window, amount, kind)
     columns = [
         "window_start",
         "window_end",
-        revenue().alias("total_revenue"),
+        sums.total().alias("total_revenue"),
         F.col("row_count").alias("transaction_count"),
         "unique_customers",
-        average().alias("avg_transaction_value"),
+        sums.average().alias("avg_transaction_value"),
     ]
     if growth:
         if is_shorter_than_a_day(window):
-            windows = _previous_across_days(windows)
+            windows = _previous_across_days(windows, sums)
         else:
             # One row per window of a day or more: a few hundred rows a year.
-            windows = windows.withColumn("previous", F.lag("cents").over(Window.orderBy("window_start")))
-        columns.append(_growth())
+            windows = windows.withColumn("previous", F.lag(F.struct(*sums.names)).over(Window.orderBy("window_start")))
+        columns.append(sums.less("previous").alias("revenue_growth"))
     return windows.select(*columns).orderBy("window_start")
 
 
@@ -66,23 +66,21 @@ def _time_type(sales: DataFrame, time: str) -> str:
     return "timestamp_ntz" if dict(sales.dtypes)[time] == "timestamp_ntz" else "timestamp"
 
 
-def _growth() -> Column:
-    return ((F.col("cents") - F.col("previous")).cast("double") / F.lit(100.0)).alias("revenue_growth")
-
-
-def _per_window(sales: DataFrame, moment: Column, window: str, amount: str, kind: str) -> DataFrame:
+def _per_window(
+    sales: DataFrame, moment: Column, window: str, amount: str | Sums, kind: str
+) -> tuple[DataFrame, Sums]:
+    priced, sums = summed(sales, amount, [moment.alias("moment"), "customer_id"])
     # Rows without a time belong to no window.
     return (
-        sales.select(moment.alias("moment"), "customer_id", cents(sales, amount).alias("cents"))
-        .where(F.col("moment").isNotNull())
+        priced.where(F.col("moment").isNotNull())
         .groupBy(window_start(F.col("moment"), window).cast(kind).alias("window_start"))
-        .agg(*totals(), F.countDistinct("customer_id").alias("unique_customers"))
+        .agg(*sums.totals(), F.countDistinct("customer_id").alias("unique_customers"))
         .withColumn("window_end", window_end(F.col("window_start"), window).cast(kind))
-    )
+    ), sums
 
 
-def _previous_across_days(windows: DataFrame) -> DataFrame:
-    """Previous window's cents without sorting all windows in one task.
+def _previous_across_days(windows: DataFrame, sums: Sums) -> DataFrame:
+    """Previous window's sums without sorting all windows in one task.
 
     Within a day by `lag` per day; the first window of a day takes the last
     window of the previous non-empty day from a table with one row per day. That
@@ -94,11 +92,17 @@ def _previous_across_days(windows: DataFrame) -> DataFrame:
     closing = (
         by_day.groupBy("day")
         .agg(F.max_by(F.struct(*windows.columns), "window_start").alias("last"))
-        .select("day", F.lag("last").over(Window.orderBy("day"))["cents"].alias("previous_closing"))
+        .select("day", F.lag("last").over(Window.orderBy("day")).alias("last"))
+        .select(
+            "day",
+            F.when(F.col("last").isNotNull(), F.struct(*[F.col("last")[name].alias(name) for name in sums.names])).alias(
+                "previous_closing"
+            ),
+        )
     )
     return (
         by_day.withColumn("place", F.row_number().over(in_day))
-        .withColumn("previous_in_day", F.lag("cents").over(in_day))
+        .withColumn("previous_in_day", F.lag(F.struct(*sums.names)).over(in_day))
         .join(closing, "day", "left")
         .withColumn(
             "previous", F.when(F.col("place") == 1, F.col("previous_closing")).otherwise(F.col("previous_in_day"))

@@ -71,8 +71,7 @@ def sales_by_segment_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_by_segment_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = sales_by_segment(star_sales(spark, sf_dir, "segments"), share=True)
-    return _rounded(shares, transaction_stddev=2, revenue_share=6)
+    return _rounded(sales_by_segment(star_sales(spark, sf_dir, "segments"), share=True), revenue_share=6)
 
 
 def sales_by_segment_net(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +136,28 @@ def event_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_cohorts(event_sales(spark, sf_dir), "total_amount", "timestamp")
 
 
+def _uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose amounts have all the digits of a DOUBLE."""
+    return event_sales(spark, sf_dir).withColumn("total_amount", F.col("total_amount") / 7)
+
+
+def uneven_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("customer_segment"),
+        F.col("user_id").alias("customer_id"),
+        (F.col("value") / 7).alias("total_amount"),
+    )
+    return sales_by_segment(kinds, share=True)
+
+
+def uneven_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_by_time(_uneven(spark, sf_dir), "6 hours", growth=True)
+
+
+def uneven_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_cohorts(_uneven(spark, sf_dir), "total_amount", "timestamp")
+
+
 # Row-level rules ----------------------------------------------------------
 
 
@@ -312,7 +333,7 @@ def pruned_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def saved_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = sales_by_segment(star_sales(spark, sf_dir, "segments"), share=True)
     path = save_result(shares, _new_folder(spark, "saved"), "customer_segments", one_file=True)
-    return _rounded(spark.read.parquet(path), transaction_stddev=2, revenue_share=6)
+    return _rounded(spark.read.parquet(path), revenue_share=6)
 
 
 def saved_segments_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -412,6 +433,9 @@ QUERIES: dict[str, Query] = {
     "events_6h_growth": events_in("6 hours", growth=True),
     "customer_cohorts": order_cohorts,
     "event_cohorts": event_cohorts,
+    "uneven_segments": uneven_segments,
+    "uneven_6h_growth": uneven_growth,
+    "uneven_cohorts": uneven_cohorts,
     "line_pricing": line_pricing,
     "line_discount": line_discount,
     "line_pricing_long": line_pricing_long,
@@ -444,7 +468,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_statistics": pipeline_statistics,
     "pipeline_cached": pipeline_cached,
     "pipeline_basic_stats": pipeline_result("basic_stats"),
-    "pipeline_segments": pipeline_result("customer_segments", transaction_stddev=2, revenue_share=6),
+    "pipeline_segments": pipeline_result("customer_segments", revenue_share=6),
     "pipeline_regions": pipeline_result("regional_analysis"),
     "pipeline_time_series": pipeline_result("time_series"),
 }

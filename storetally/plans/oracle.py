@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # One sale per line, in cents-exact decimals.
 SALES = """
     SELECT l_orderkey AS transaction_id, l_partkey AS sku, l_suppkey AS store_id,
@@ -38,8 +40,22 @@ BASIC = f"""COUNT(*) AS total_transactions, {TOTALS}, {MEAN},
 RATIOS = f"""{REVENUE} / {CUSTOMERS} AS revenue_per_customer,
     CAST(COUNT(*) AS DOUBLE) / COUNT(DISTINCT store_id) AS transactions_per_store"""
 SEGMENT = f"customer_segment, COUNT(*) AS transaction_count, {TOTALS}, {MEAN}, {CUSTOMERS} AS unique_customers"
+# Sample deviation of whole numbers with the sums s1 and s2 of first and second powers, rounded only at the end.
+DEVIATION = """SQRT((CAST(s2 - 2 * (s1 // n) * s1 + n * (s1 // n) * (s1 // n) AS DOUBLE)
+    - CAST(s1 - n * (s1 // n) AS DOUBLE) * CAST(s1 - n * (s1 // n) AS DOUBLE) / n) / CAST(n - 1 AS DOUBLE))"""
+
+
+def deviation(unit: str, whole: str) -> str:
+    """Of amounts that are `whole` numbers in a unit."""
+    parts = {"s1": f"CAST(SUM({whole}) AS HUGEINT)", "s2": f"CAST(SUM({whole} * {whole}) AS HUGEINT)", "n": "COUNT(amount)"}
+    text = DEVIATION
+    for name, value in parts.items():
+        text = re.sub(rf"\b{name}\b", value, text)
+    return f"{text} / {unit}::DOUBLE AS transaction_stddev"
+
+
 SEGMENT_SHARE = f"""
-    SELECT {SEGMENT}, ROUND(STDDEV_SAMP(CAST(amount AS DOUBLE)), 2) AS transaction_stddev,
+    SELECT {SEGMENT}, {deviation('100', 'CAST(amount * 100 AS HUGEINT)')},
            ROUND({REVENUE} / CAST(SUM(SUM(amount)) OVER () AS DOUBLE), 6) AS revenue_share
     FROM sales GROUP BY customer_segment"""
 REGION_STAR = f"""
@@ -59,6 +75,23 @@ def windows(start: str, end: str, columns: str, growth: bool = False) -> str:
           FROM sales GROUP BY 1, 2)"""
 
 
+# Amounts of any digits: whole cents, and the rest in multiples of 2^-78; text is what DuckDB rounds correctly.
+UNEVEN = """
+    SELECT *, CASE WHEN even THEN CAST(ROUND(amount * 100) AS HUGEINT) ELSE 0 END AS whole_cents,
+           CASE WHEN even THEN 0 ELSE CAST(amount * 302231454903657293676544 AS HUGEINT) END AS rest,
+           CASE WHEN even THEN CAST(ROUND(amount * 100) AS HUGEINT) * 10000000
+                ELSE CAST(ROUND_EVEN(amount * 1000000000, 0) AS HUGEINT) END AS fine
+    FROM (SELECT *, ROUND(amount * 100) / 100 = amount AS even
+          FROM (SELECT user_id AS customer_id, ts, value / 7 AS amount, event_type AS customer_segment FROM events))
+"""
+
+
+def uneven(whole_cents: str, rest: str) -> str:
+    """Both sums as one DOUBLE."""
+    return f"CAST({whole_cents} AS DOUBLE) / 100 + CAST(CAST({rest} AS VARCHAR) AS DOUBLE) / 302231454903657293676544"
+
+
+UNEVEN_REVENUE = uneven("SUM(whole_cents)", "SUM(rest)")
 FLAT_WINDOW = "total_revenue, transaction_count, unique_customers"
 STAR_WINDOW = f"{FLAT_WINDOW}, avg_transaction_value"
 MONTH = "CAST(DATE_TRUNC('month', ts) AS TIMESTAMP)"
@@ -184,6 +217,29 @@ ORACLE: dict[str, str] = {
     "events_6h_growth": with_events(windows(*bucket("6 hours"), STAR_WINDOW, growth=True)),
     "customer_cohorts": f"WITH sales AS ({SALES}) {COHORTS}",
     "event_cohorts": f"WITH sales AS ({EVENTS}) {COHORTS}",
+    "uneven_segments": f"""
+        WITH sales AS ({UNEVEN})
+        SELECT customer_segment, COUNT(*) AS transaction_count, {UNEVEN_REVENUE} AS total_revenue,
+               ({UNEVEN_REVENUE}) / COUNT(amount) AS avg_transaction_value, {CUSTOMERS} AS unique_customers,
+               {deviation('1000000000', 'fine')},
+               ({UNEVEN_REVENUE}) / ({uneven('SUM(SUM(whole_cents)) OVER ()', 'SUM(SUM(rest)) OVER ()')}) AS revenue_share
+        FROM sales GROUP BY customer_segment""",
+    "uneven_6h_growth": f"""
+        WITH sales AS ({UNEVEN}), windows AS (
+            SELECT {bucket("6 hours")[0]} AS window_start, {bucket("6 hours")[1]} AS window_end, COUNT(*) AS transaction_count,
+                   {CUSTOMERS} AS unique_customers, {UNEVEN_REVENUE} AS total_revenue,
+                   ({UNEVEN_REVENUE}) / COUNT(amount) AS avg_transaction_value,
+                   SUM(whole_cents) AS whole_cents, SUM(rest) AS rest
+            FROM sales GROUP BY 1, 2),
+        apart AS (
+            SELECT *, whole_cents - LAG(whole_cents) OVER (ORDER BY window_start) AS cents_apart,
+                   rest - LAG(rest) OVER (ORDER BY window_start) AS rest_apart
+            FROM windows)
+        SELECT window_start, window_end, transaction_count, unique_customers, total_revenue, avg_transaction_value,
+               {uneven('cents_apart', 'rest_apart')} AS revenue_growth
+        FROM apart""",
+    "uneven_cohorts": f"WITH sales AS ({UNEVEN}) "
+    + COHORTS.replace("customer_id, amount,", "customer_id, whole_cents, rest,").replace(REVENUE, UNEVEN_REVENUE),
     "line_pricing": f"""
         SELECT {LINE_KEYS}, CAST(ROUND(list_price * kept, 2) AS DOUBLE) AS unit_price,
                CAST(ROUND(list_price * kept * qty, 2) AS DOUBLE) AS line_total
