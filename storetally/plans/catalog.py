@@ -183,6 +183,15 @@ def line_pricing_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_pricing_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of five decimals as DOUBLE, premiums and discounts of many."""
+    lines = priced_lines(spark, sf_dir, **LONG_DISCOUNT)
+    finer = lines.withColumn("base_price", F.expr("CAST(base_price * 0.001BD AS DOUBLE)"))
+    return price_lines(finer).select(
+        "transaction_id", "line_number", "sku", "store_id", "quantity", "unit_price", "line_total", "discount_amount"
+    )
+
+
 def header_rollup_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header_totals(priced_lines(spark, sf_dir, **LONG_DISCOUNT))
 
@@ -439,6 +448,7 @@ QUERIES: dict[str, Query] = {
     "line_pricing": line_pricing,
     "line_discount": line_discount,
     "line_pricing_long": line_pricing_long,
+    "line_pricing_digits": line_pricing_digits,
     "header_rollup": header_rollup,
     "header_rollup_long": header_rollup_long,
     "header_segments": header_segments,

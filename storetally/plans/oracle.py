@@ -142,6 +142,12 @@ LONG_LINES = (
     .replace("CAST(l_quantity AS DECIMAL(6,0)) AS qty", "CAST(l_quantity AS DECIMAL(3,0)) AS qty")
     .replace("l_partkey = p_partkey", "l_partkey = p_partkey AND p_type <> 'PROMO'")
 )
+# Prices of five decimals; types just wide enough, so that the product fits 38 digits.
+DIGIT_LINES = LONG_LINES.replace(
+    "CAST(p_retailprice AS DECIMAL(12,2))", "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 0.001 AS DECIMAL(9,5))"
+).replace("ELSE 1 END AS DECIMAL(5,4)", "ELSE 1 END AS DECIMAL(3,2)").replace(
+    "AS DECIMAL(16,6)) AS list_price", "AS DECIMAL(12,7)) AS list_price"
+)
 HEADERS = f"""
     SELECT transaction_id, CAST(ROUND(exact, 2) AS DOUBLE) AS subtotal,
            CAST(ROUND(exact * CAST(0.08 AS DECIMAL(3,2)), 2) AS DOUBLE) AS tax_amount,
@@ -253,6 +259,11 @@ ORACLE: dict[str, str] = {
                CAST(ROUND(list_price * kept * qty, 2) AS DOUBLE) AS line_total,
                CAST(ROUND(list_price * CAST(1 - kept AS DECIMAL(19,18)), 2) * qty AS DOUBLE) AS discount_amount
         FROM ({LONG_LINES})""",
+    "line_pricing_digits": f"""
+        SELECT {LINE_KEYS}, CAST(ROUND(list_price * kept, 2) AS DOUBLE) AS unit_price,
+               CAST(ROUND(list_price * kept * qty, 2) AS DOUBLE) AS line_total,
+               CAST(ROUND(list_price * CAST(1 - kept AS DECIMAL(19,18)), 2) * qty AS DOUBLE) AS discount_amount
+        FROM ({DIGIT_LINES})""",
     "header_rollup": HEADERS,
     "header_rollup_long": HEADERS_LONG,
     "header_segments": f"""

@@ -1,7 +1,7 @@
 """Row-level rules against plain Python decimals."""
 
 import random
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +208,44 @@ def test_pricing_by_declared_types(spark):
     assert price_lines(lines).select(*names).collect() == price_lines(declared).select(*names).collect()
     assert sorted(header_totals(lines).collect()) == sorted(header_totals(declared).collect())
     assert price_lines(lines).where("transaction_id = 2").select(*names).first() == (None, None, None)
+
+
+def test_pricing_keeps_every_digit(spark):
+    """Prices and premiums of six decimals, discounts of 18, against Python decimals."""
+    rng = random.Random(11)
+    lines = [
+        (
+            i // 3,
+            i,
+            Decimal(rng.randrange(1, 10**rng.choice([6, 9, 12]))).scaleb(-6),
+            rng.choice([Decimal("1.15"), Decimal("0.333333"), Decimal("12.000001"), None]),
+            rng.choice([Decimal(rng.randrange(10**18)).scaleb(-18), Decimal("0.5"), Decimal(1), None]),
+            rng.choice([1, 2, 7, -3, 99_999]),
+        )
+        for i in range(400)
+    ]
+    # Exactly half a cent, and one digit below it.
+    lines += [(900, 900, Decimal("0.000005"), Decimal(1), None, 1000), (901, 901, Decimal("0.01"), None, Decimal("0.500000000000000001"), 1)]
+    schema = "transaction_id bigint, line bigint, base_price decimal(16,6), price_premium decimal(8,6), discount_pct decimal(19,18), quantity bigint"
+    frame = spark.createDataFrame(lines, schema)
+    expected, totals = {}, {}
+    with localcontext() as context:
+        context.prec = 80
+        for transaction, line, price, premium, discount, quantity in lines:
+            listed = price * (premium if premium is not None else 1)
+            saved = listed * (discount if discount is not None else 0)
+            paid = listed - saved
+            expected[line] = (half_up(paid), half_up(paid * quantity), float(saved.quantize(CENT, ROUND_HALF_UP) * quantity))
+            totals[transaction] = totals.get(transaction, 0) + paid * quantity
+        headers = {t: (half_up(x), half_up(x * Decimal("0.08")), half_up(x * Decimal("1.08"))) for t, x in totals.items()}
+    found = {row["line"]: (row["unit_price"], row["line_total"], row["discount_amount"]) for row in rows(price_lines(frame))}
+    assert found == expected
+    found = {row["transaction_id"]: (row["subtotal"], row["tax_amount"], row["total_amount"]) for row in rows(header_totals(frame))}
+    assert found == headers
+
+
+@pytest.mark.parametrize("price, premium", [(1.1234567, 1.0), (1.5, 1.1234567)])
+def test_pricing_refuses_to_cut(spark, price, premium):
+    frame = spark.createDataFrame([(1, price, premium, 0.1, 2)], "transaction_id int, base_price double, price_premium double, discount_pct double, quantity int")
+    with pytest.raises(Exception, match="more decimals"):
+        price_lines(frame).collect()
