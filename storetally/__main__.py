@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--layout", choices=sorted(LOADERS), default="chunks", help="how the star fact is stored")
     parser.add_argument("--window", default="1 month", help="length of the time windows")
     parser.add_argument("--cache", action="store_true", help="keep the star fact's needed columns in memory")
+    parser.add_argument("--one-scan", action="store_true", help="total the star fact once, analyse the totals")
     parser.add_argument(
         "--shuffle-partitions",
         type=int,
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
             result = run_flat(spark, args.input_path, args.output_path, args.window)
         else:
             result = run_pipeline(
-                spark, args.input_path, args.output_path, args.layout, args.window, args.cache
+                spark, args.input_path, args.output_path, args.layout, args.window, args.cache, args.one_scan
             )
         print(json.dumps(result, indent=2, default=str))
     finally:

@@ -36,8 +36,15 @@ from storetally.plans.testdata import (
 )
 from storetally.session import remove_at_end, run_folder
 from storetally.sinks.facts import save_chunks, save_partitioned
-from storetally.sinks.results import run_metrics, save_result
-from storetally.sources.parquet import load_chunks, load_filtered, load_partitioned, load_recursive
+from storetally.sinks.published import load_all, load_latest, publish, stage
+from storetally.sinks.results import observed, observed_metrics, run_metrics, save_result
+from storetally.sources.parquet import (
+    load_chunks,
+    load_filtered,
+    load_mixed_chunks,
+    load_partitioned,
+    load_recursive,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -314,11 +321,13 @@ def filtered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_by_segment(load_filtered(spark, path, pattern=SPARK_FILES))
 
 
-def _save_by_month(spark: SparkSession, sf_dir: str) -> str:
-    sales = star_sales(spark, sf_dir, "segments")
+def _by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = calendar_parts(F.col("timestamp"))
-    by_month = sales.withColumns({"year": parts["year"], "month": parts["month"]})
-    return save_partitioned(by_month, _new_folder(spark, "partitioned"))
+    return star_sales(spark, sf_dir, "segments").withColumns({"year": parts["year"], "month": parts["month"]})
+
+
+def _save_by_month(spark: SparkSession, sf_dir: str) -> str:
+    return save_partitioned(_by_month(spark, sf_dir), _new_folder(spark, "partitioned"))
 
 
 def recursive_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,6 +374,50 @@ def appended_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def rewritten_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partitioned fact after one month was written again with the sales of one segment only."""
+    path = _save_by_month(spark, sf_dir)
+    april = (F.col("year") == 1996) & (F.col("month") == 4) & (F.col("customer_segment") == "BUILDING")
+    save_partitioned(_by_month(spark, sf_dir).where(april), path, only_present=True)
+    return (
+        load_partitioned(spark, path)
+        .groupBy("year", "month")
+        .agg(F.count("*").alias("transaction_count"), F.countDistinct("customer_id").alias("unique_customers"))
+    )
+
+
+def published_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see after a run, a later one that died before its manifest, and the first one repeated."""
+    folder = _new_folder(spark, "published")
+    segments = sales_by_segment(star_sales(spark, sf_dir, "segments"))
+    publish({"segments": segments}, folder, "first")
+    stage({"segments": segments.limit(2)}, folder, "second")
+    publish({"segments": segments.limit(1)}, folder, "first")
+    return load_latest(spark, folder, "segments")
+
+
+def published_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, one of them repeated: each counts once."""
+    folder = _new_folder(spark, "published")
+    segments = sales_by_segment(star_sales(spark, sf_dir, "segments"))
+    for run in ("a", "b", "a"):
+        publish({"segments": segments}, folder, run)
+    return load_all(spark, folder, "segments")
+
+
+def mixed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of other types: INT32 stores, times in nanoseconds as BIGINT, amounts as DECIMAL."""
+    folder = _new_folder(spark, "mixed")
+    sales = star_sales(spark, sf_dir, "segments").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    own = F.col("transaction_id") % 3
+    save_chunks(sales.where(own == 0), folder, "transactions_chunk_0000")
+    narrow = sales.where(own == 1).withColumn("store_id", F.col("store_id").cast("int"))
+    save_chunks(narrow, folder, "transactions_chunk_0001")
+    nanos = sales.where(own == 2).withColumn("timestamp", F.unix_micros("timestamp") * 1000)
+    save_chunks(nanos.withColumn("note", F.lit("x")), folder, "transactions_chunk_0002")
+    return sales_by_time(load_mixed_chunks(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), growth=True)
+
+
 def saved_time_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     trend = monthly_sales_growth(spark, sf_dir).withColumn("window_date", F.to_date("window_start"))
     path = save_result(trend, _new_folder(spark, "saved"), "time_series", ["window_date"])
@@ -377,18 +430,18 @@ def saved_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(info.schema).json(path)
 
 
-def _pipeline_output(spark: SparkSession, sf_dir: str, cache: bool = False) -> str:
+def _pipeline_output(spark: SparkSession, sf_dir: str, **choices: bool) -> str:
     """Runs the whole pipeline on model tables written from the test tables."""
     folder = _new_folder(spark, "pipeline")
     save_chunks(star_sales(spark, sf_dir, "segments"), f"{folder}/input")
     stores(spark, sf_dir).write.parquet(f"{folder}/input/stores_master.parquet")
     products(spark, sf_dir).write.parquet(f"{folder}/input/products_master.parquet")
-    run_pipeline(spark, f"{folder}/input", f"{folder}/output", cache=cache)
+    run_pipeline(spark, f"{folder}/input", f"{folder}/output", **choices)
     return f"{folder}/output"
 
 
-def pipeline_statistics(spark: SparkSession, sf_dir: str, cache: bool = False) -> DataFrame:
-    summary = spark.read.json(f"{_pipeline_output(spark, sf_dir, cache)}/analysis_summary.json")
+def pipeline_statistics(spark: SparkSession, sf_dir: str, **choices: bool) -> DataFrame:
+    summary = spark.read.json(f"{_pipeline_output(spark, sf_dir, **choices)}/analysis_summary.json")
     return summary.select(
         "transaction_count",
         "master_data.*",
@@ -405,11 +458,11 @@ def pipeline_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline_statistics(spark, sf_dir, cache=True)
 
 
-def pipeline_result(name: str, **digits: int) -> Query:
+def pipeline_result(name: str, one_scan: bool = False, **digits: int) -> Query:
     """One of the results the pipeline writes."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _rounded(spark.read.parquet(f"{_pipeline_output(spark, sf_dir)}/{name}"), **digits)
+        return _rounded(spark.read.parquet(f"{_pipeline_output(spark, sf_dir, one_scan=one_scan)}/{name}"), **digits)
 
     return query
 
@@ -418,6 +471,13 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_metrics(basic_stats_flat(spark, sf_dir))
 
 
+def metrics_of_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics taken while the statistics are written."""
+    stats, watch = observed(basic_stats_flat(spark, sf_dir))
+    save_result(stats, _new_folder(spark, "saved"), "basic_stats", one_file=True)
+    return observed_metrics(spark, watch)
+
+
 QUERIES: dict[str, Query] = {
     "basic_stats_flat": basic_stats_flat,
     "basic_stats_star": basic_stats_star,
@@ -464,7 +524,12 @@ QUERIES: dict[str, Query] = {
     "dataset_info": profile_info,
     "flat_sales": flattened,
     "run_metrics": metrics,
+    "run_metrics_observed": metrics_of_write,
     "chunked_fact": chunked_fact,
+    "mixed_chunks": mixed_chunks,
+    "rewritten_month": rewritten_month,
+    "published_segments": published_segments,
+    "published_twice": published_twice,
     "filtered_fact": filtered_fact,
     "recursive_fact": recursive_fact,
     "partitioned_fact": partitioned_fact,
@@ -481,4 +546,8 @@ QUERIES: dict[str, Query] = {
     "pipeline_segments": pipeline_result("customer_segments", revenue_share=6),
     "pipeline_regions": pipeline_result("regional_analysis"),
     "pipeline_time_series": pipeline_result("time_series"),
+    "pipeline_one_scan_stats": pipeline_result("basic_stats", one_scan=True),
+    "pipeline_one_scan_segments": pipeline_result("customer_segments", one_scan=True, revenue_share=6),
+    "pipeline_one_scan_regions": pipeline_result("regional_analysis", one_scan=True),
+    "pipeline_one_scan_series": pipeline_result("time_series", one_scan=True),
 }

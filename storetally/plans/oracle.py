@@ -359,4 +359,16 @@ ORACLE |= {
     "pipeline_segments": ORACLE["sales_by_segment_share"],
     "pipeline_regions": ORACLE["regional_star"],
     "pipeline_time_series": ORACLE["saved_time_series"],
+    "pipeline_one_scan_stats": ORACLE["basic_stats_star"],
+    "pipeline_one_scan_segments": ORACLE["sales_by_segment_share"],
+    "pipeline_one_scan_regions": ORACLE["regional_star"],
+    "pipeline_one_scan_series": ORACLE["saved_time_series"],
+    "run_metrics_observed": ORACLE["run_metrics"],
+    "mixed_chunks": ORACLE["monthly_sales_growth"],
+    "published_segments": ORACLE["sales_by_segment"],
+    "published_twice": f"{ORACLE['sales_by_segment']} UNION ALL ({ORACLE['sales_by_segment']})",
+    "rewritten_month": ORACLE["partitioned_fact"].replace(
+        "FROM sales GROUP BY",
+        "FROM sales WHERE YEAR(ts) <> 1996 OR MONTH(ts) <> 4 OR customer_segment = 'BUILDING' GROUP BY",
+    ),
 }

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from storetally.functions.exact import Sums, tally
+from storetally.functions.periods import window_start
 from storetally.operators.cohorts import customer_cohorts
 from storetally.operators.flatten import FLAT_COLUMNS, flatten
 from storetally.operators.headline import basic_stats, first_row
@@ -17,12 +19,14 @@ from storetally.operators.regions import regional_flat, regional_star
 from storetally.operators.segments import sales_by_segment
 from storetally.operators.trends import sales_by_date, sales_by_time
 from storetally.schemas import REQUIRED
+from storetally.session import remove_folder, run_folder
 from storetally.sinks.facts import save_chunks
-from storetally.sinks.results import run_metrics, save_result
+from storetally.sinks.results import observed, observed_metrics, save_result
 from storetally.sources import parquet
 
 LOADERS = {
     "chunks": parquet.load_chunks,
+    "mixed": parquet.load_mixed_chunks,
     "filtered": parquet.load_filtered,
     "recursive": parquet.load_recursive,
     "partitioned": parquet.load_partitioned,
@@ -36,13 +40,16 @@ def run_pipeline(
     layout: str = "chunks",
     window: str = "1 month",
     cache: bool = False,
+    one_scan: bool = False,
 ) -> dict[str, Any]:
     """Reads fact and dimensions below `input_path`, writes results below `output_path`.
 
     Returns the summary that is also written to `analysis_summary.json`. Every
     analysis is evaluated once, by its own write, and reads only its columns of
     the fact; only one-row statistics come to the driver. `cache` keeps the
-    columns they need in memory, for a fact that fits there.
+    columns they need in memory, for a fact that fits there. `one_scan` reads the fact once,
+    totals it by day, window, store, segment and customer into a folder of the run, and folds all analyses
+    from these totals: for facts with many sales of a customer a day, or costly to read.
     """
     transactions = LOADERS[layout](spark, input_path)
     if cache:
@@ -53,33 +60,61 @@ def run_pipeline(
         "stores_count": parquet.check_unique(stores, "store_id"),
         "products_count": parquet.load_products(spark, input_path).count(),
     }
-    paths = save_analyses(transactions, stores, output_path, window)
+    amount: str | Sums = "total_amount"
+    totals_path = None
+    if one_scan:
+        totals_path = run_folder(spark, "totals")
+        transactions, amount = daily_totals(transactions, window, totals_path)
+    try:
+        paths, watch = save_analyses(transactions, stores, output_path, window, amount)
+    finally:
+        if totals_path:
+            remove_folder(spark, totals_path)
     if cache:
         transactions.unpersist()
 
     stats = spark.read.parquet(paths["basic_stats"])
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    save_result(run_metrics(stats).withColumn("ts", F.lit(now)), output_path, "run_metrics")
+    save_result(observed_metrics(spark, watch).withColumn("ts", F.lit(now)), output_path, "run_metrics")
     summary = summary_row(stats, now, input_path, output_path, master_data, paths)
     summary.write.mode("overwrite").json(f"{output_path.rstrip('/')}/analysis_summary.json")
     return first_row(summary)
 
 
+def daily_totals(transactions: DataFrame, window: str, path: str) -> tuple[DataFrame, Sums]:
+    """Totals per day, window, store, segment and customer, written to `path`: a fact for all four analyses.
+
+    The start of a row's window stands for its time, so totals of any window fold to the same windows.
+    """
+    kind = transactions.schema["timestamp"].dataType
+    start = window_start(F.col("timestamp"), window).cast(kind)
+    keys = ["date", "timestamp", "store_id", "customer_segment", "customer_id"]
+    totals, sums = tally(transactions.withColumn("timestamp", start), keys, "total_amount", moments=True)
+    totals.write.parquet(path)
+    return transactions.sparkSession.read.schema(totals.schema).parquet(path), sums
+
+
 def save_analyses(
-    transactions: DataFrame, stores: DataFrame, output_path: str, window: str = "1 month"
-) -> dict[str, str]:
-    """Writes the four analyses of the star tables; returns their paths by name."""
-    trend = sales_by_time(transactions, window, growth=True).withColumn("window_date", F.to_date("window_start"))
+    transactions: DataFrame,
+    stores: DataFrame,
+    output_path: str,
+    window: str = "1 month",
+    amount: str | Sums = "total_amount",
+) -> tuple[dict[str, str], Observation]:
+    """Writes the four analyses of the star tables; returns their paths by name and the observed statistics."""
+    trend = sales_by_time(transactions, window, amount, growth=True)
+    trend = trend.withColumn("window_date", F.to_date("window_start"))
+    stats, watch = observed(basic_stats(transactions, amount, date="date", ratios=True))
     by_name = {
-        "basic_stats": basic_stats(transactions, date="date", ratios=True),
-        "customer_segments": sales_by_segment(transactions, share=True),
-        "regional_analysis": regional_star(transactions, stores),
+        "basic_stats": stats,
+        "customer_segments": sales_by_segment(transactions, amount, share=True),
+        "regional_analysis": regional_star(transactions, stores, amount),
     }
     # One row, one per segment, one per region and state: small whatever the fact is.
     paths = {
         name: save_result(result, output_path, name, one_file=True, json_copy=True) for name, result in by_name.items()
     }
-    return paths | {"time_series": save_result(trend, output_path, "time_series", ["window_date"])}
+    return paths | {"time_series": save_result(trend, output_path, "time_series", ["window_date"])}, watch
 
 
 def summary_row(

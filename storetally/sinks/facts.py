@@ -17,12 +17,19 @@ def save_chunks(fact: DataFrame, path: str, name: str = "transactions_chunk_0000
     return target
 
 
-def save_partitioned(fact: DataFrame, path: str, by: Sequence[str] = ("year", "month")) -> str:
-    """Snappy Parquet partitioned by calendar columns.
+def save_partitioned(
+    fact: DataFrame, path: str, by: Sequence[str] = ("year", "month"), only_present: bool = False
+) -> str:
+    """Snappy Parquet partitioned by calendar columns; replaces what is at `path`.
+
+    With `only_present` only the partitions that `fact` has rows for are replaced, for the rerun of a
+    month; the files of all others stay untouched.
 
     `rebalance` brings the rows of a partition together, so tasks do not each
     write a small file to every folder, and AQE splits a partition that grows
     beyond the advisory size, so a hot month is written by many tasks.
     """
-    fact.hint("rebalance", *by).write.mode("overwrite").option("compression", "snappy").partitionBy(*by).parquet(path)
+    mode = "dynamic" if only_present else "static"
+    writer = fact.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.option("compression", "snappy").partitionBy(*by).parquet(path)
     return path

@@ -8,6 +8,7 @@ pruning; `keep` caches chosen columns where several analyses share them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ CHUNKS = {
 }
 MASTERS = {"stores": "stores_master.parquet", "products": "products_master.parquet"}
 
+FOOTERS_AT_ONCE = 16
 SMALL_INTEGERS = (ByteType, ShortType, IntegerType)
 WIDENS = {
     LongType: SMALL_INTEGERS,
@@ -53,6 +55,31 @@ def load_chunks(spark: SparkSession, path: str, table: str = "transactions") ->
     return conform(spark.read.parquet(f"{path.rstrip('/')}/{CHUNKS[table]}"), table)
 
 
+def load_mixed_chunks(spark: SparkSession, path: str, table: str = "transactions") -> DataFrame:
+    """Chunks right below `path` whose files may differ in their types, such as INT32 beside INT64 or times
+    in nanoseconds beside microseconds.
+
+    Chunks of equal schema are read together; each such group is conformed, and the groups are
+    joined by column name, with NULLs where one lacks a further column. The schemas come
+    from the chunks' footers, several read at a time (one small job each).
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{CHUNKS[table]}")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    chunks = [status.getPath().toString() for status in files.globStatus(pattern) or []]
+    if not chunks:
+        raise FileNotFoundError(f"no {CHUNKS[table]} below {path}")
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        schemas = pool.map(lambda chunk: spark.read.parquet(chunk).schema.json(), chunks)
+        groups: dict[str, list[str]] = {}
+        for chunk, schema in zip(chunks, schemas):
+            groups.setdefault(schema, []).append(chunk)
+    frames = [conform(spark.read.parquet(*group), table) for group in groups.values()]
+    found = frames[0]
+    for frame in frames[1:]:
+        found = found.unionByName(frame, allowMissingColumns=True)
+    return found
+
+
 def load_filtered(
     spark: SparkSession, path: str, table: str = "transactions", pattern: str | None = None
 ) -> DataFrame:

@@ -37,6 +37,7 @@ def settings(spark, **values):
 
 
 WRITING = {"chunked_fact", "filtered_fact", "recursive_fact", "partitioned_fact", "pruned_fact", "appended_segments"}
+WRITING |= {"mixed_chunks", "rewritten_month", "published_segments", "published_twice", "run_metrics_observed"}
 WRITING |= {"item_sequence", "regional_star", "regional_star_unknown"} | {n for n in QUERIES if n.startswith("pipeline_")}
 
 
