@@ -66,7 +66,7 @@ def test_cohorts_total_days_before_the_shuffle(spark):
     plan = plan_of(customer_cohorts(star_sales(spark, SF_DIR, "header"), "total_amount", "timestamp"))
     # Day totals, one row per customer, cohort cells, and the sort.
     assert plan.count("hashpartitioning(customer_id") == 2
-    assert plan.count("partial_sum") == 3
+    assert sum("partial_sum" in line for line in plan.splitlines()) == 3
 
 
 def test_hot_transaction_is_split_in_the_join(spark, tmp_path):
