@@ -1,6 +1,12 @@
+import html as references
+import re
+import time
+
+import numpy as np
 import pytest
 from corpus import MIDDLE, read
 
+from storetally.llm import html_extract
 from storetally.llm.html_extract import extract, main_text, op7_html
 
 PARAGRAPHS = [
@@ -53,17 +59,91 @@ def test_long_page():
     assert main_text(deep) == "deep text"
 
 
+def plain(html):
+    """The article of a page of the table by regular expressions: cut at its blocks, without tags."""
+    article = html[html.index("<article>") + 9 : html.index("</article>")]
+    blocks = re.split(r"</?(?:p|h1|h2|h3|ul|li|div|section)(?:\s[^>]*)?>", article)
+    blocks = [" ".join(references.unescape(re.sub(r"<[^>]*>", " " if "br" in block else "", block)).split()) for block in blocks]
+    return "\n".join(block for block in blocks if block)
+
+
 def test_table(spark):
     rows = read("pages", MIDDLE)
     found = {row["page_id"]: row for row in op7_html(spark, MIDDLE).collect()}
     assert len(found) == len(rows)
     for page_id, url, html in rows:
-        article = html[html.index("<article>") + 9 : html.index("</article>")]
         assert found[page_id]["url"] == url
-        assert found[page_id]["text"] == main_text(f"<article>{article}</article>")
+        assert found[page_id]["text"] == plain(html)
         assert found[page_id]["n_chars"] == len(found[page_id]["text"]) > 0
 
 
+def test_the_clusters_decide(monkeypatch):
+    """Other clusters give other texts, on pages of the table and on pages without articles."""
+    pages = [row[2] for row in read("pages", MIDDLE)][:100]
+    pages += [page.replace("article>", "div>") for page in pages]
+    right = [main_text(page) for page in pages]
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(html_extract, "clusters", lambda ratios, parts: rng.random(len(ratios)) < 0.5)
+    changed = [main_text(page) != text for page, text in zip(pages, right)]
+    assert sum(changed[:100]) > 25 and sum(changed[100:]) > 25
+
+
+WORDS = "Text of the page that must stay, with enough words to be read as such by anyone."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><div id='page' class='has-sidebar'>%s</div></body>",
+        "<body><div class='content no-sidebar'>%s</div></body>",
+        "<article><p>First.</p><div id='discussion'>%s</div></article>",
+        "<article><p>First.</p><div class='share-price'>%s</div></article>",
+        "<article><p>First.</p><section id='related-work'>%s</section></article>",
+        "<article><div class='article-header'><h1>Title</h1>%s</div></article>",
+        "<article><p>First.</p><div class='legal-notice-period'>%s</div></article>",
+        "<body><form id='all'>%s</form></body>",
+        "<body class='nav'>%s</body>",
+        "<main class='sidebar'>%s</main>",
+        "<div class='widget'><nav><a>menu</a></nav>%s</div>",
+    ],
+)
+def test_names_do_not_take_content(page):
+    text = main_text(page % (f"<p>{WORDS}</p>" * 3))
+    assert text.count(WORDS) == 3 and "menu" not in text
+    if "Title" in page:
+        assert text.startswith("Title\n")
+
+
+def test_boilerplate_in_an_article_goes():
+    page = "<article>%s<div class='ad'>Buy now</div><aside>Aside</aside>%s<ul class='share'><li>Send</li></ul><section class='comments'><article class='comment'><p>%s</p></article></section></article>"
+    text = main_text(page % (BODY, BODY, "A reader's comment of some length that is no part of the article at all. " * 3))
+    assert text == PLAIN + "\n" + PLAIN
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 50_000 + "</section>" * 50_000 + "<p>end</p>",
+        "<div>" * 20_000 + "<body>" * 20_000 + "<p>end</p>",
+        "<p><b>" * 50_000 + "</i></b>" * 50_000 + "end",
+        "<ul>" + "<li><p>" * 50_000 + "end",
+        "<nav>" * 50_000 + "</nav>" * 50_000 + "<p>end</p>",
+    ],
+    ids=["stray ends", "bodies", "inline", "items", "menus"],
+)
+def test_open_elements_cost_nothing(page):
+    begin = time.perf_counter()
+    assert main_text(page).endswith("end")
+    assert time.perf_counter() - begin < 4
+
+
+def test_smoothing_stays_in_its_part():
+    ratios, parts = np.array([9.0, 9.0, 0.0, 9.0, 9.0]), np.array([0, 0, 5, 0, 0])
+    assert html_extract._smoothed(ratios, parts).tolist() == ratios.tolist()
+    even = html_extract._smoothed(np.arange(9.0), np.zeros(9))
+    assert even[4] == pytest.approx(4) and even[0] > 0
+
+
 def test_rows_and_columns_stay(spark):
     pages = spark.createDataFrame([(1, None, "x", 2), (None, "<p>a</p>", "y", 3), (None, "<p>a</p>", "y", 3)], "page_id int, html string, url string, n int")
     found = extract(pages, name="main")
