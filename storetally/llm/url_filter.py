@@ -5,14 +5,15 @@ the URL begins with the rule's. The longest rule decides. Pages that rules decid
 hosts seeds, with a weight of one for each page. Hosts are linked by the absolute
 links of their pages, and a subdomain with the host above it, in both directions.
 Personalised PageRank passes trust from allowed seeds along the links, and
-distrust from blocked seeds against them, for a fixed number of rounds. Where no rule
-decides, a host is blocked if distrust is more than half of its evidence: trust,
+distrust from blocked seeds against them, until what is still on its way is less than
+`TOLERANCE` of the seeds. Where no rule decides, a host is blocked if distrust is more than half of its evidence: trust,
 distrust, and `PRIOR` for each of its own pages, so that a host with many pages
 needs more of it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 from storetally.llm.texts import shared_checkpoint, table
 
 DAMPING = 0.85
-ROUNDS = 8
+TOLERANCE = 1e-4
+# Rounds after which a table is kept.
+KEPT_ROUNDS = 4
 MOST_DISTRUST = 0.5
 PRIOR = 0.2
 
@@ -53,12 +56,11 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(_rest(url), "^[^/?#]*([^?#]*)", 1)
 
 
-def _suffixes(host: Column) -> Column:
-    """The host and all hosts above it."""
+def _suffixes(host: Column, most: int) -> Column:
+    """The last labels of the host, from one to `most` of them; so a long host costs no more than its length."""
     labels = F.split(host, r"\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda place: F.array_join(F.slice(labels, place, F.size(labels)), "."),
+    return F.array_distinct(
+        F.array(*(F.array_join(F.slice(labels, -F.least(F.lit(n), F.size(labels)), n), ".") for n in range(1, most + 1)))
     )
 
 
@@ -88,18 +90,43 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return edges.join(out, "source").select("source", "target", (F.col("n") / F.col("n_all")).alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(kind, host, mass): personalised PageRank of `seeds` (kind, host, mass) over `edges` (kind, source, target, weight)."""
-    mass = seeds
-    for done in range(1, rounds + 1):
-        moved = mass.join(edges.withColumnRenamed("source", "host"), ["kind", "host"]).select(
-            "kind", F.col("target").alias("host"), (F.col("mass") * F.col("weight") * damping).alias("mass")
-        )
-        start = seeds.select("kind", "host", (F.col("mass") * (1 - damping)).alias("mass"))
-        mass = moved.union(start).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        if done % 4 == 0:
-            mass = shared_checkpoint(mass)
-    return mass
+def rounds_needed(tolerance: float = TOLERANCE, damping: float = DAMPING) -> int:
+    """Rounds after which less than `tolerance` of the seeds' mass can be on its way, whatever the links are."""
+    return math.ceil(math.log(tolerance) / math.log(damping))
+
+
+def propagate(
+    edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING
+) -> DataFrame:
+    """(kind, host, mass): personalised PageRank of `seeds` (kind, host, mass) over `edges` (kind, source, target, weight).
+
+    A kept table holds what each host has and what it has not passed on yet. A round passes the latter
+    on; what then remains shrinks by the damping at least, faster where hosts have no links. Ends when less
+    than `tolerance` of all mass is on its way: so much is missing in the result.
+    """
+    links = edges.withColumnRenamed("source", "host")
+    first = (F.col("mass") * (1 - damping)).alias("mass")
+    state = seeds.select("kind", "host", first).withColumn("moving", F.col("mass"))
+    total = seeds.agg(F.sum("mass")).first()[0]
+    if not total:
+        return state.drop("moving")
+    for done in range(0, rounds_needed(tolerance, damping), KEPT_ROUNDS):
+        for _ in range(min(KEPT_ROUNDS, rounds_needed(tolerance, damping) - done)):
+            moved = state.filter("moving > 0").join(links, ["kind", "host"]).select(
+                "kind", F.col("target").alias("host"), (F.col("moving") * F.col("weight") * damping).alias("mass")
+            )
+            state = (
+                state.select("kind", "host", "mass", F.lit(0.0).alias("moving"))
+                .union(moved.withColumn("moving", F.col("mass")))
+                .groupBy("kind", "host")
+                .agg(F.sum("mass").alias("mass"), F.sum("moving").alias("moving"))
+            )
+        state = shared_checkpoint(state)
+        # All that will still move, in all rounds to come.
+        left = (state.agg(F.sum("moving")).first()[0] or 0.0) * damping / (1 - damping)
+        if left < tolerance * total:
+            break
+    return state.drop("moving")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -113,12 +140,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
     spark = pages.sparkSession
     known = spark.createDataFrame(list(rules), "rule_host string, rule_path string, rule_verdict string")
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    labels = max((host.count(".") + 1 for host, _, _ in rules), default=1)
     # Rules by host: one row per distinct host and rule of a host above it.
     by_host = (
         urls.select("host")
         .filter("host != ''")
         .distinct()
-        .select("host", F.explode(_suffixes(F.col("host"))).alias("rule_host"))
+        .select("host", F.explode(_suffixes(F.col("host"), labels)).alias("rule_host"))
         .join(known, "rule_host")
         .groupBy("host")
         .agg(
@@ -185,21 +213,10 @@ def op4_url_filter(spark, sf_dir: str) -> DataFrame:
 
 
 def oracle(rules: Sequence[tuple[str, str, str]] = RULES) -> str:
-    """The query as DuckDB SQL, its rounds written out."""
+    """The query as DuckDB SQL; it goes on until no more than a hundredth of the tolerance can be on its way."""
     values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in rules)
-    rounds = ["m0 AS (SELECT * FROM seeds)"]
-    for done in range(1, ROUNDS + 1):
-        rounds.append(
-            f"""m{done} AS (
-  SELECT kind, host, sum(mass) AS mass FROM (
-    SELECT m.kind, e.target AS host, m.mass * e.weight * {DAMPING} AS mass
-    FROM m{done - 1} m JOIN edges e ON e.kind = m.kind AND e.source = m.host
-    UNION ALL SELECT kind, host, mass * {1 - DAMPING} FROM seeds
-  ) GROUP BY kind, host
-)"""
-        )
     text = r"""
-WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES @values),
+WITH RECURSIVE rules(rule_host, rule_path, rule_verdict) AS (VALUES @values),
 urls AS (
   SELECT page_id, html,
     translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -234,16 +251,22 @@ counted AS (
   FROM (SELECT * FROM links UNION ALL SELECT * FROM tree UNION ALL SELECT target, source FROM tree)
   WHERE source <> target AND target <> '' GROUP BY source, target
 ),
-weighted AS (SELECT source, target, n / sum(n) OVER (PARTITION BY source) AS weight FROM counted),
-edges AS (
+weighted AS MATERIALIZED (SELECT source, target, n / sum(n) OVER (PARTITION BY source) AS weight FROM counted),
+edges AS MATERIALIZED (
   SELECT 'allow' AS kind, source, target, weight FROM weighted
   UNION ALL SELECT 'block', target, source, weight / sum(weight) OVER (PARTITION BY target) FROM weighted
 ),
-@rounds,
+moving AS (
+  SELECT 0 AS round, kind, host, mass * (1 - @damping) AS mass FROM seeds
+  UNION ALL
+  SELECT m.round + 1, m.kind, e.target, sum(m.mass * e.weight * @damping)
+  FROM moving m JOIN edges e ON e.kind = m.kind AND e.source = m.host
+  WHERE m.round < @rounds GROUP BY m.round, m.kind, e.target
+),
 blocked AS (
   SELECT host FROM (
     SELECT host, sum(CASE WHEN kind = 'allow' THEN mass ELSE 0 END) AS trust,
-      sum(CASE WHEN kind = 'block' THEN mass ELSE 0 END) AS distrust FROM m@last GROUP BY host
+      sum(CASE WHEN kind = 'block' THEN mass ELSE 0 END) AS distrust FROM moving GROUP BY host
   ) JOIN (SELECT host, count(*) AS n FROM urls GROUP BY host) USING (host)
   WHERE distrust > @most * (trust + distrust + @prior * n)
 )
@@ -251,7 +274,8 @@ SELECT page_id, u.host, u.path, f.rule,
   coalesce(f.verdict, CASE WHEN b.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM urls u LEFT JOIN fits f ON f.host = u.host AND f.path = u.path AND f.place = 1 LEFT JOIN blocked b ON b.host = u.host
 """
-    parts = {"values": values, "rounds": ",\n".join(rounds), "last": ROUNDS, "most": MOST_DISTRUST, "prior": PRIOR}
+    rounds = rounds_needed(TOLERANCE / 100)
+    parts = {"values": values, "rounds": rounds, "damping": DAMPING, "most": MOST_DISTRUST, "prior": PRIOR}
     for name, part in parts.items():
         text = text.replace(f"@{name}", str(part))
     return text

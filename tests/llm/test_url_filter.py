@@ -1,14 +1,45 @@
+import time
+
 import pytest
 from compare import compare
-from corpus import MIDDLE, connect
+from corpus import MIDDLE, SMALL, connect
 
-from storetally.llm.url_filter import RULES, judge, op4_url_filter, oracle
+from storetally.llm.url_filter import RULES, TOLERANCE, judge, op4_url_filter, oracle, propagate
 
 SCHEMA = "page_id bigint, url string, html string, host string, path string, rule string, verdict string, kind string"
 
 
-def test_matches_sql(spark):
-    assert compare(op4_url_filter(spark, MIDDLE), connect(), oracle()) == []
+@pytest.mark.parametrize("folder", [SMALL, MIDDLE])
+def test_matches_sql(spark, folder):
+    """The SQL goes on for 85 rounds."""
+    assert compare(op4_url_filter(spark, folder), connect(folder), oracle()) == []
+
+
+def test_propagation_settles(spark):
+    """A chain and a two-way edge, on which mass swings: against the linear equations."""
+    links = [("a", "b", 1.0), ("b", "a", 0.5), ("b", "c", 0.5), ("c", "d", 1.0), ("d", "c", 0.25), ("d", "a", 0.75)]
+    links += [(f"n{i}", f"n{i + 1}", 1.0) for i in range(30)]
+    edges = spark.createDataFrame([("block", *link) for link in links], "kind string, source string, target string, weight double")
+    seeds = spark.createDataFrame([("block", "a", 3.0), ("block", "n0", 2.0)], "kind string, host string, mass double")
+    found = {row["host"]: row["mass"] for row in propagate(edges, seeds).collect()}
+    mass = {"a": 3.0, "n0": 2.0}
+    exact = dict.fromkeys({end for link in links for end in link[:2]}, 0.0)
+    for _ in range(400):
+        exact = {h: 0.15 * mass.get(h, 0) + 0.85 * sum(exact[s] * w for s, t, w in links if t == h) for h in exact}
+    assert sum(abs(found.get(h, 0) - value) for h, value in exact.items()) < TOLERANCE * 5
+    assert found["n30"] == pytest.approx(0.3 * 0.85**30, rel=1e-6)
+
+
+def test_long_hosts(spark):
+    """A host of 8,000 labels costs no more than its length."""
+    long = "a." * 8000 + "example.net"
+    rows = [(1, f"http://{long}/en/x", ""), (2, "http://b.net/", ""), (3, "http://" + "c." * 30_000 + "d/", "")]
+    begin = time.perf_counter()
+    found = judge(spark.createDataFrame(rows, "page_id int, url string, html string"), RULES)
+    assert {row["page_id"]: (row["rule"], row["verdict"]) for row in found.collect()} == {
+        1: ("example.net/en/", "allow"), 2: ("net/", "block"), 3: (None, "allow"),
+    }
+    assert time.perf_counter() - begin < 60
 
 
 @pytest.fixture(scope="module")
