@@ -19,22 +19,43 @@ def test_held_out_accuracy(spark):
     assert np.mean(toxic) >= 0.85 and np.mean(clean) <= 0.02
 
 
-def test_learns_a_pair_that_weights_cannot():
-    """Toxic is either both terms or none: no linear weights fit it."""
+def test_learns_a_pair_that_weights_cannot(spark):
+    """Toxic is either both terms or none, among other words: neither term tells anything by itself."""
     rng = np.random.default_rng(1)
-    rows = [np.array([a, b], dtype=np.int32) for a in (1, 2) for b in (3, 4) for _ in range(100)]
-    rows = [np.concatenate([row, rng.integers(10, 40, 3)]).astype(np.int32) for row in rows]
-    labels = np.array([(1 in row[:1]) == (3 in row[1:2]) for row in rows], dtype=int)
-    # Single terms tell nothing, so the choice of features is switched off.
-    least, t.LEAST_Z = t.LEAST_Z, -1.0
-    try:
-        machine = t.train([np.unique(row) for row in rows], labels)
-    finally:
-        t.LEAST_Z = least
-    buckets = np.concatenate(rows).astype(np.int64)
-    of = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
-    predicted = machine.scores(buckets, of, len(rows)) >= 0.5
-    assert (predicted == labels).mean() >= 0.95
+    texts, labels = [], {}
+    for doc_id in range(4000):
+        one, other = rng.random(2) < 0.5
+        words = [f"word{i}" for i in rng.integers(0, 300, 30)] + ["insult"] * int(one) + ["group"] * int(other)
+        texts.append((doc_id, " ".join(rng.permutation(words))))
+        labels[doc_id] = int(one == other)
+    docs = frame(spark, texts)
+    known = spark.createDataFrame([(i, 1, one) for i, one in labels.items()], "doc_id bigint, quality int, toxic int")
+    scored = t.score(docs, t.fit(docs, known), name="toxicity").filter(t.held_out(t.F.col("doc_id"))).collect()
+    assert len(scored) > 600
+    assert np.mean([(row["toxicity"] >= 0.5) == labels[row["doc_id"]] for row in scored]) > 0.95
+
+
+def test_scores_sum_all_pairs():
+    """The machine's score from its definition: every pair of distinct terms."""
+    rng = np.random.default_rng(2)
+    feature = np.full(1 << t.BITS, -1, dtype=np.int32)
+    feature[:20] = np.arange(20)
+    machine = t.Machine(-0.3, feature, rng.normal(size=20), rng.normal(size=(20, t.FACTORS)))
+    rows = [rng.integers(0, 40, n) for n in (0, 1, 5, 30)]
+    found = machine.scores(np.concatenate(rows), np.repeat(np.arange(4), [len(row) for row in rows]), 4)
+    for row, score in zip(rows, found):
+        own = [int(one) for one in set(row.tolist()) if one < 20]
+        total = machine.bias + sum(machine.weights[i] for i in own)
+        total += sum(machine.factors[i] @ machine.factors[j] for i in own for j in own if i < j)
+        assert np.isclose(score, 1 / (1 + np.exp(-np.clip(total, -30, 30))))
+
+
+def test_chance_moves_nothing():
+    """Labels that no term tells apart leave almost all weights at 0."""
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 400, 60)).astype(np.int32) for _ in range(1500)]
+    machine = t.train(rows, rng.integers(0, 2, 1500))
+    assert np.mean(machine.weights != 0) < 0.2
 
 
 def test_awkward_tables(spark):
