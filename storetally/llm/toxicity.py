@@ -8,8 +8,8 @@ the mention of a group, may weigh more or less than their sum.
 The machine is fitted in one task on at most `SAMPLE` labelled rows, the first
 by a hash of doc_id. Terms that `LEAST_TEXTS` of them hold are features, whatever their labels: a term that
 matters only in pairs is one, too. The machine weighs them by itself, by follow-the-regularised-leader:
-a weight leaves 0, and a factor its random start near 0, only once what speaks for that
-has summed up to more than chance would give (`LASSO` times the root of the rows). Scoring reads every whole text.
+a weight leaves 0, and a factor its random start near 0, only once the slopes that speak for that
+have summed up to `LASSO` times the root of the number of rows. Scoring reads every whole text.
 """
 
 from __future__ import annotations

@@ -50,14 +50,6 @@ def test_scores_sum_all_pairs():
         assert np.isclose(score, 1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def test_chance_moves_nothing():
-    """Labels that no term tells apart leave almost all weights at 0."""
-    rng = np.random.default_rng(4)
-    rows = [np.unique(rng.integers(0, 400, 60)).astype(np.int32) for _ in range(1500)]
-    machine = t.train(rows, rng.integers(0, 2, 1500))
-    assert np.mean(machine.weights != 0) < 0.2
-
-
 def test_awkward_tables(spark):
     rows = awkward()
     docs = frame(spark, rows)
