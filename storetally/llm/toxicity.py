@@ -33,6 +33,8 @@ TOXIC_WEIGHT = 4.0
 EPOCHS = 6
 LEAST_TEXTS = 10
 LASSO = 0.36
+# A row whose score errs by less teaches nothing more.
+SURE = 0.03
 # Steps of weights and factors, the pull towards their start, and the spread of the factors' start.
 STEP, FACTOR_STEP, RIDGE, SPREAD = 1.0, 0.1, 0.1, 0.01
 
@@ -124,6 +126,8 @@ def train(terms: list[np.ndarray], labels: np.ndarray) -> Machine:
             sums = mine.sum(axis=0)
             score = bias + weights.now[own].sum() + 0.5 * ((sums**2).sum() - (mine**2).sum())
             slope = 1.0 / (1.0 + np.exp(-min(max(score, -30.0), 30.0))) - float(toxic[row])
+            if abs(slope) < SURE:
+                continue
             slope *= TOXIC_WEIGHT if toxic[row] else 1.0
             seen += slope**2
             bias -= 0.5 * slope / seen**0.5
