@@ -134,7 +134,12 @@ def train(terms: list[np.ndarray], labels: np.ndarray) -> Machine:
             if len(own):
                 weights.move(own, np.full(len(own), slope))
                 factors.move(own, slope * (sums - mine))
-    return Machine(bias, feature, weights.now, factors.now)
+    # What never left its start says nothing; terms of which nothing is left are not looked up.
+    moved = np.where(factors.now != factors.start, factors.now, 0.0)
+    used = (weights.now != 0) | moved.any(axis=1)
+    feature[:] = -1
+    feature[chosen[used]] = np.arange(used.sum())
+    return Machine(bias, feature, weights.now[used], moved[used])
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
