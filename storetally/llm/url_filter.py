@@ -16,15 +16,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from storetally.llm.texts import shared_checkpoint, table
 
 DAMPING = 0.85
 TOLERANCE = 1e-4
-# Rounds after which a table is kept.
-KEPT_ROUNDS = 4
 MOST_DISTRUST = 0.5
 PRIOR = 0.2
 
@@ -110,21 +108,21 @@ def propagate(
     total = seeds.agg(F.sum("mass")).first()[0]
     if not total:
         return state.drop("moving")
-    for done in range(0, rounds_needed(tolerance, damping), KEPT_ROUNDS):
-        for _ in range(min(KEPT_ROUNDS, rounds_needed(tolerance, damping) - done)):
-            moved = state.filter("moving > 0").join(links, ["kind", "host"]).select(
-                "kind", F.col("target").alias("host"), (F.col("moving") * F.col("weight") * damping).alias("mass")
-            )
-            state = (
-                state.select("kind", "host", "mass", F.lit(0.0).alias("moving"))
-                .union(moved.withColumn("moving", F.col("mass")))
-                .groupBy("kind", "host")
-                .agg(F.sum("mass").alias("mass"), F.sum("moving").alias("moving"))
-            )
-        state = shared_checkpoint(state)
+    for _ in range(rounds_needed(tolerance, damping)):
+        moved = state.filter("moving > 0").join(links, ["kind", "host"]).select(
+            "kind", F.col("target").alias("host"), (F.col("moving") * F.col("weight") * damping).alias("mass")
+        )
+        passed = (
+            state.select("kind", "host", "mass", F.lit(0.0).alias("moving"))
+            .union(moved.withColumn("moving", F.col("mass")))
+            .groupBy("kind", "host")
+            .agg(F.sum("mass").alias("mass"), F.sum("moving").alias("moving"))
+        )
+        # A table and a small plan for each round; what moves is summed while the table is written.
+        watch = Observation()
+        state = shared_checkpoint(passed.observe(watch, F.sum("moving").alias("moving")))
         # All that will still move, in all rounds to come.
-        left = (state.agg(F.sum("moving")).first()[0] or 0.0) * damping / (1 - damping)
-        if left < tolerance * total:
+        if (watch.get["moving"] or 0.0) * damping / (1 - damping) < tolerance * total:
             break
     return state.drop("moving")
 
