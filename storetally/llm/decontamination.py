@@ -8,11 +8,12 @@ permutation. An item of q shingles that needs n of them takes the q - n + 1
 smallest: a document holding n shingles of the item cannot miss all of these,
 however long it is, so the search has no false negatives. Items are partitioned
 by size (powers of two); a document is searched only in partitions whose least
-item it is large enough to contain. Candidates are verified by their exact
+item it is large enough to contain: its shingles are looked up in the sorted sketch values, whose
+postings name the candidates. Only these are verified, by their exact
 shingle containment in the same pass.
 
 Items are a stated query set: they are taken in blocks of bounded size, each
-broadcast to one narrow pass over the documents. Nothing is shuffled.
+broadcast to one narrow pass over the documents; the driver holds one block at a time. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -25,11 +26,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storetally.llm.texts import fresh, mix, shared_checkpoint, shingle_hashes, slices, table, word_hashes
+from storetally.llm.texts import (
+    fresh,
+    mix,
+    shared_checkpoint,
+    shared_table,
+    shingle_hashes,
+    slices,
+    table,
+    word_hashes,
+)
 
 # Shingles of the items of one block, at most (an item beyond it is a block of its own).
 BLOCK_SHINGLES = 2_000_000
-_FILTER_BITS = 20
+# Bits of the filter that sketch values pass, beyond those that number them, and at least.
+_FILTER_SPARE, _FILTER_LEAST = 5, 16
 
 
 def _item_sets(size: int):
@@ -49,11 +60,10 @@ def _item_sets(size: int):
 
 @dataclass
 class _Partition:
-    """Items of similar size: sorted sketch values with their items, and all their shingles likewise."""
+    """Items of similar size: sorted sketch values, each with the item that it is of."""
 
     least: int
     sketch: np.ndarray
-    shingles: np.ndarray
     items: np.ndarray
 
 
@@ -64,7 +74,7 @@ class Index:
         self.ids = [item for item, _ in items]
         self.sizes = np.array([len(hashes) for _, hashes in items], dtype=np.int64)
         self.needed = -(-self.sizes * numerator // denominator)
-        self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
+        self.shingles = [hashes for _, hashes in items]
         self.partitions = []
         classes = np.floor(np.log2(np.maximum(self.sizes, 1))).astype(int)
         for size_class in np.unique(classes[self.sizes > 0]):
@@ -74,26 +84,38 @@ class Index:
                 hashes = items[item][1]
                 order = np.argsort(mix(hashes))[: len(hashes) - self.needed[item] + 1]
                 sketches.append(hashes[order])
-            sketch = np.unique(np.concatenate(sketches))
-            shingles = np.concatenate([items[item][1] for item in own])
-            of = np.repeat(own, self.sizes[own])
-            order = np.argsort(shingles, kind="stable")
-            self.filter[sketch & np.uint64((1 << _FILTER_BITS) - 1)] = True
-            self.partitions.append(_Partition(int(self.needed[own].min()), sketch, shingles[order], of[order]))
+            sketch, of = np.concatenate(sketches), np.repeat(own, [len(one) for one in sketches])
+            order = np.argsort(sketch, kind="stable")
+            self.partitions.append(_Partition(int(self.needed[own].min()), sketch[order], of[order]))
+        values = sum(len(part.sketch) for part in self.partitions)
+        self.mask = np.uint64((1 << max(_FILTER_LEAST, values.bit_length() + _FILTER_SPARE)) - 1)
+        self.filter = np.zeros(int(self.mask) + 1, dtype=bool)
+        for part in self.partitions:
+            self.filter[part.sketch & self.mask] = True
+
+    def passed(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether each of `hashes` may be a sketch value."""
+        return self.filter[hashes & self.mask]
 
     def search(self, hashes: np.ndarray) -> list[tuple[int, int]]:
         """(item, shared shingles) of the items contained in the set `hashes` (sorted, distinct)."""
         found = []
+        likely = hashes[self.passed(hashes)]
         for part in self.partitions:
             if len(hashes) < part.least:
                 continue
-            near = np.minimum(np.searchsorted(hashes, part.sketch), len(hashes) - 1)
-            if not (hashes[near] == part.sketch).any():
+            begin, stop = (np.searchsorted(part.sketch, likely, side) for side in ("left", "right"))
+            hit = np.flatnonzero(stop > begin)
+            if not len(hit):
                 continue
-            # Verify: every shingle of the partition's items, exactly.
-            near = np.minimum(np.searchsorted(hashes, part.shingles), len(hashes) - 1)
-            items, shared = np.unique(part.items[hashes[near] == part.shingles], return_counts=True)
-            found += [(int(i), int(n)) for i, n in zip(items, shared) if n >= self.needed[i]]
+            postings = np.concatenate([part.items[a:b] for a, b in zip(begin[hit], stop[hit])])
+            # Verify the candidates: every shingle of theirs, exactly.
+            for item in np.unique(postings):
+                own = self.shingles[item]
+                near = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+                shared = int((hashes[near] == own).sum())
+                if shared >= self.needed[item]:
+                    found.append((int(item), shared))
         return found
 
 
@@ -101,7 +123,7 @@ def _hits(index: Index, size: int, column: pa.Array) -> Iterator[tuple[int, int,
     """(row, item, shared shingles) of the items contained in the texts of `column`."""
     for row, data, offsets in slices(column):
         shingles, first = shingle_hashes(*word_hashes(data, offsets), size)
-        hits = np.flatnonzero(index.filter[shingles & np.uint64((1 << _FILTER_BITS) - 1)])
+        hits = np.flatnonzero(index.passed(shingles))
         for text in np.unique(np.searchsorted(first, hits, side="right") - 1):
             for item, count in index.search(np.unique(shingles[first[text] : first[text + 1]])):
                 yield row + int(text), item, count
@@ -190,7 +212,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text") ->
     """The rows of `docs` that contain no item of five words, 0.8 or more, with the same columns.
 
     NULL, empty and blank texts contain nothing and stay. Each row is judged by
-    its own text, whatever its doc_id.
+    its own text, whatever its doc_id; repeated rows alike. Empty tables drop nothing. Between
+    blocks of items, what is left is kept in the shared folder.
     """
     mark = fresh(docs, "contaminated")
     place = docs.columns.index(text)
@@ -199,8 +222,13 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text") ->
         _item_sets(5), "item_id bigint, shingles binary, n bigint"
     )
     kept = docs
-    for block in _blocks(sets.filter("n > 0")):
+    blocks = _blocks(sets.filter("n > 0"))
+    block = next(blocks, None)
+    while block is not None:
         kept = kept.mapInArrow(_marked(Index(block, 80, 100), 5, place, mark), schema).filter(~F.col(mark)).drop(mark)
+        block = next(blocks, None)
+        if block is not None:
+            kept = shared_table(kept, "decontaminated")
     return kept
 
 

@@ -1,5 +1,7 @@
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
 from compare import compare
 from corpus import MIDDLE, awkward, connect, frame, shingles
@@ -55,6 +57,18 @@ def test_awkward_texts(spark, monkeypatch, rows, block):
     assert Counter((row["doc_id"], row["text"]) for row in kept.collect()) == Counter(want)
 
 
+def test_cost_does_not_grow_with_the_items():
+    """Documents of 500 shingles against 100,000 items, some of which they contain."""
+    rng = np.random.default_rng(7)
+    items = [(i, np.unique(rng.integers(0, 2**63, 20).astype(np.uint64))) for i in range(100_000)]
+    index = d.Index(items, 80, 100)
+    documents = [np.unique(np.concatenate([rng.integers(0, 2**63, 480).astype(np.uint64), items[i][1]])) for i in range(300)]
+    begin = time.perf_counter()
+    found = [index.search(document) for document in documents]
+    assert time.perf_counter() - begin < 0.3 * 3  # three times 1 ms a document
+    assert found == [[(i, 20)] for i in range(300)]
+
+
 def test_empty_tables(spark, rows):
     assert d.contained_items(frame(spark, rows), items(spark, [])).collect() == []
     assert d.contained_items(frame(spark, []), items(spark, ITEMS)).collect() == []
