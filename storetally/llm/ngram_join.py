@@ -55,10 +55,15 @@ _MOST = np.iinfo(np.uint8).max
 # A cell of the join holds about so many texts and shingles.
 CELL_TEXTS = 1500
 CELL_SHINGLES = 1_500_000
-# A larger shard is one block as a whole, without a search by bounds.
+# A shard of more texts, or of more bytes of points, is one block as a whole, without a search by bounds.
 SHARD_TEXTS = 20_000
+SHARD_BYTES = 32 << 20
 # Shards of so many texts or fewer are known by their texts, so that equal shards count once.
 LISTED = 64
+# Shard keys in a row of the table of classes, and such rows in a batch.
+KEYS_A_ROW = 1024
+KEY_ROWS = 2048
+_CLASS_COLUMNS = ["doc_id", "n_shingles", "node", "class", "point", "keys"]
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -142,19 +147,44 @@ class _Shards:
         return keys if groups - filled.sum() > spare else keys[filled]
 
 
-def _classes(size: int):
+def _classes(size: int, numerator: int, denominator: int):
+    """Two kinds of rows: one for each text, and those that list the shard keys of its class.
+
+    Rows of the second kind have no doc_id and no n_shingles and hold up to KEYS_A_ROW keys;
+    a class that has given its keys in this task does so once.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards = _Shards(numerator, denominator)
+        seen: set[int] = set()
         for batch in batches:
             counts = np.zeros(batch.num_rows, dtype=np.int64)
             nodes = np.zeros(batch.num_rows, dtype=np.uint64)
             names: list[str | None] = [None] * batch.num_rows
             points: list[bytes | None] = [None] * batch.num_rows
+            keys, owners = [], []
             for row, hashes in _sets(batch.column(1), size):
-                if len(hashes):
-                    low, high = _fingerprint(mix(hashes))
-                    counts[row], nodes[row], names[row] = len(hashes), low, _class_name(low, high)
-                    point = _point(hashes, _dimensions(len(hashes)))
-                    points[row] = np.minimum(point, _MOST).astype(np.uint8).tobytes()
+                if not len(hashes):
+                    continue
+                mixed = mix(hashes)
+                low, high = _fingerprint(mixed)
+                counts[row], nodes[row], names[row] = len(hashes), low, _class_name(low, high)
+                point = _point(hashes, _dimensions(len(hashes)))
+                points[row] = np.minimum(point, _MOST).astype(np.uint8).tobytes()
+                if low in seen:  # equal sets have equal keys
+                    continue
+                if len(seen) >= 1_000_000:
+                    seen.clear()
+                seen.add(low)
+                own = shards.keys(hashes, mixed)
+                for begin in range(0, len(own), KEYS_A_ROW):
+                    keys.append(own[begin : begin + KEYS_A_ROW])
+                    owners.append(low)
+                if len(keys) >= KEY_ROWS:
+                    yield _key_rows(keys, owners)
+                    keys, owners = [], []
+            if keys:
+                yield _key_rows(keys, owners)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -162,42 +192,28 @@ def _classes(size: int):
                     pa.array(signed(nodes)),
                     pa.array(names, pa.string()),
                     pa.array(points, pa.binary()),
+                    pa.nulls(batch.num_rows, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "node", "class", "point"],
+                _CLASS_COLUMNS,
             )
 
     return run
 
 
-def _shard_rows(size: int, numerator: int, denominator: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards = _Shards(numerator, denominator)
-        for batch in batches:
-            seen: set[int] = set()
-            keys, nodes = [], []
-            for _, hashes in _sets(batch.column(0), size):
-                if not len(hashes):
-                    continue
-                mixed = mix(hashes)
-                node = int(mixed.sum(dtype=np.uint64))
-                if node in seen:  # an equal set of this batch has the same keys
-                    continue
-                seen.add(node)
-                own = shards.keys(hashes, mixed)
-                keys.append(own)
-                nodes.append(np.full(len(own), node, dtype=np.uint64))
-                if len(keys) >= 512:
-                    yield _pairs(keys, nodes)
-                    keys, nodes = [], []
-            if keys:
-                yield _pairs(keys, nodes)
-
-    def _pairs(keys, nodes):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(signed(np.concatenate(keys))), pa.array(signed(np.concatenate(nodes)))], ["key", "node"]
-        )
-
-    return run
+def _key_rows(keys: list[np.ndarray], owners: list[int]) -> pa.RecordBatch:
+    ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
+    count = len(keys)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.nulls(count, pa.int64()),
+            pa.nulls(count, pa.int64()),
+            pa.array(signed(np.array(owners, dtype=np.uint64))),
+            pa.nulls(count, pa.string()),
+            pa.nulls(count, pa.binary()),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(np.concatenate(keys)))),
+        ],
+        _CLASS_COLUMNS,
+    )
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +257,7 @@ def _edges(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["u", "v"])
 
 
-def _near(numerator: int, denominator: int):
+def _near(numerator: int, denominator: int, most_bytes: int = SHARD_BYTES):
     def bounded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         """Edges that join the texts of a shard which may link."""
         rows = pa.Table.from_batches(held)
@@ -272,7 +288,7 @@ def _near(numerator: int, denominator: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        count, shard, leader = 0, None, None
+        count, size, shard, leader = 0, 0, None, None
         for batch in batches:
             shards = batch.column(0).to_numpy(zero_copy_only=False)
             cuts = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(shards)]
@@ -282,11 +298,12 @@ def _near(numerator: int, denominator: int):
                 if shards[begin] != shard:
                     if count > 1 and held:
                         yield bounded(held)
-                    held, count, shard = [], 0, shards[begin]
+                    held, count, size, shard = [], 0, 0, shards[begin]
                     leader = batch.column(1)[begin].as_py()
                 held.append(batch.slice(begin, stop - begin))
                 count += stop - begin
-                if count > SHARD_TEXTS:
+                size += held[-1].column(3).nbytes
+                if size > most_bytes:
                     nodes = np.concatenate([one.column(1).to_numpy(zero_copy_only=False) for one in held])
                     yield _edges(np.full(len(nodes), leader, dtype=np.int64), nodes)
                     held = []
@@ -424,14 +441,17 @@ def ngram_join(
     An empty table gives no rows.
     """
     source = docs.select("doc_id", F.col(text).alias("text"))
-    # A table is computed once; a checkpoint would run its last stage, here all of it, twice.
-    classes = shared_table(
-        source.mapInArrow(_classes(size), "doc_id bigint, n_shingles bigint, node bigint, class string, point binary"),
+    # A table is computed once; a checkpoint would run its last stage, here all of it, twice. The shard keys
+    # lie in the same table, so that texts are cut into shingles once and ranges of keys are sampled from it.
+    kept = shared_table(
+        source.mapInArrow(
+            _classes(size, numerator, denominator),
+            "doc_id bigint, n_shingles bigint, node bigint, class string, point binary, keys array<bigint>",
+        ),
         "classes",
     )
-    shards = source.select("text").mapInArrow(
-        _shard_rows(size, numerator, denominator), "key bigint, node bigint"
-    )
+    classes = kept.filter("n_shingles IS NOT NULL").drop("keys")
+    shards = kept.filter("n_shingles IS NULL").select(F.explode("keys").alias("key"), "node")
     # A range of (key, node) may end inside a shard, so that a hot shard is spread over tasks.
     # Kept, so that the shuffle of all keys is gone before points are dealt to the shards.
     meetings = shared_table(
@@ -441,6 +461,14 @@ def ngram_join(
         .distinct(),
         "meetings",
     )
+    # The texts of a hot shard are joined with one of them, wherever they lie; points go to the others only.
+    hot = (
+        meetings.groupBy("shard")
+        .agg(F.count("*").alias("texts"), F.min("node").alias("leader"))
+        .filter(F.col("texts") > SHARD_TEXTS)
+    )
+    whole = meetings.join(hot, "shard").select(F.col("leader").alias("u"), F.col("node").alias("v"))
+    meetings = meetings.join(hot, "shard", "left_anti")
     representatives = classes.filter("class IS NOT NULL").groupBy("class", "node").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.max("point").alias("point")
     )
@@ -451,7 +479,7 @@ def ngram_join(
         .sortWithinPartitions("shard", "node")
         .mapInArrow(_near(numerator, denominator), "u bigint, v bigint")
     )
-    blocks = components(near)
+    blocks = components(near.union(whole))
 
     candidates = representatives.join(blocks, "node").select("class", "doc_id", "n", F.col("root").alias("block"))
     weights = candidates.groupBy("block").agg(F.count("*").alias("texts"), F.sum("n").alias("shingles"))

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import compare
 from corpus import MIDDLE, SMALL, awkward, connect, frame, plain_components, read
@@ -55,6 +56,41 @@ def test_cells_of_a_large_block(spark, monkeypatch):
     assert result(found) == expected(rows, 5, (80, 100))
 
 
+def test_hot_shards_are_blocks(spark, monkeypatch):
+    """Shards of more texts than are searched by bounds give the same components."""
+    monkeypatch.setattr(ngram_join, "SHARD_TEXTS", 2)
+    rng = random.Random(6)
+    footer = [f"f{k}" for k in range(40)]
+    rows = [(k, " ".join([*footer, *(f"w{rng.randrange(k % 7 + 1)}" for _ in range(20))])) for k in range(80)]
+    rows += awkward()
+    found = ngram_join.ngram_join(frame(spark, rows), 80, 100, size=5)
+    assert result(found) == expected(rows, 5, (80, 100))
+
+
+def test_shard_of_many_bytes_is_a_star():
+    points = [bytes([1] * 64)] * 4
+    columns = [pa.array([9, 9, 9, 9]), pa.array([1, 2, 3, 4]), pa.array([64] * 4), pa.array(points)]
+    batch = pa.RecordBatch.from_arrays(columns, ["shard", "node", "n", "point"])
+    for most_bytes in (0, 1 << 20):
+        edges = pa.Table.from_batches(ngram_join._near(80, 100, most_bytes)(iter([batch])))
+        assert {(u, v) for u, v in zip(*edges.to_pydict().values()) if u != v} == {(1, 2), (1, 3), (1, 4)}
+
+
+def test_keys_of_a_class_are_given_once_a_task():
+    long = " ".join(f"w{k}" for k in range(60_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([long, None, "a b", long])], ["doc_id", "text"])
+    found = list(ngram_join._classes(5, 80, 100)(iter([batch, batch])))
+    rows = [row for one in found for row in one.to_pylist()]
+    texts = [row for row in rows if row["n_shingles"] is not None]
+    listed = [row for row in rows if row["n_shingles"] is None]
+    assert [row["n_shingles"] for row in texts] == [59_996, 0, 1, 59_996] * 2
+    assert all(row["keys"] is None for row in texts) and all(row["doc_id"] is None for row in listed)
+    assert max(len(row["keys"]) for row in listed) == ngram_join.KEYS_A_ROW
+    keys = [(row["node"], key) for row in listed for key in row["keys"]]
+    assert len(keys) == len(set(keys)) > ngram_join.KEYS_A_ROW
+    assert {node for node, _ in keys} == {row["node"] for row in texts if row["n_shingles"]}
+
+
 def test_small_table_at_five_words(spark):
     rows = [(row[0], row[1]) for row in read("documents")]
     found = ngram_join.ngram_join(spark.read.parquet(f"{SMALL}/documents.parquet"))
