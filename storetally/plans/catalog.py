@@ -11,7 +11,7 @@ from storetally.functions.keys import customer_key, is_hazmat, product_name, sku
 from storetally.functions.lookups import month_seasonal, region_premium, region_seasonal
 from storetally.functions.periods import calendar_parts
 from storetally.operators.cohorts import customer_cohorts
-from storetally.operators.flatten import FLAT_COLUMNS
+from storetally.operators.flatten import FLAT_COLUMNS, flatten
 from storetally.operators.headline import basic_stats, mini_stats
 from storetally.operators.pricing import header_totals, price_lines
 from storetally.operators.products import product_performance
@@ -27,18 +27,21 @@ from storetally.plans.testdata import (
     event_sales,
     flat_sales,
     header,
+    items,
     priced_lines,
     products,
     saved_stores,
     star_sales,
     stores,
     table,
+    with_places,
 )
 from storetally.session import remove_at_end, run_folder
-from storetally.sinks.facts import save_chunks, save_partitioned
+from storetally.sinks.facts import save_bucketed, save_chunks, save_clustered, save_partitioned
 from storetally.sinks.published import load_all, load_latest, publish, stage
 from storetally.sinks.results import observed, observed_metrics, run_metrics, save_result
 from storetally.sources.parquet import (
+    load_bucketed,
     load_chunks,
     load_filtered,
     load_mixed_chunks,
@@ -348,6 +351,48 @@ def pruned_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_by_segment(fact.where((F.col("year") == 1996) & F.col("month").between(4, 6)))
 
 
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bucketed(spark: SparkSession, frame: DataFrame, by: str) -> DataFrame:
+    path = save_bucketed(frame, _new_folder(spark, "bucketed"), by, _buckets(spark))
+    return load_bucketed(spark, path, by, _buckets(spark))
+
+
+def bucketed_flat_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table from items and headers in buckets of transactions, joined without a shuffle of either."""
+    lines = _bucketed(spark, items(spark, sf_dir), "transaction_id")
+    heads = _bucketed(spark, header(spark, sf_dir, segments=True), "transaction_id")
+    placed = with_places(spark, sf_dir, flatten(lines, heads, products(spark, sf_dir)))
+    return placed.select("transaction_id", *FLAT_COLUMNS)
+
+
+def bucketed_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohorts of a fact in buckets of customers, which is not shuffled by customer again."""
+    return customer_cohorts(_bucketed(spark, flat_sales(spark, sf_dir, "header"), "customer_id"))
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact written in ranges of dates, with Bloom filters on customers; ids keep the type that the filters have."""
+    fact = star_sales(spark, sf_dir, "segments")
+    path = save_clustered(fact, _new_folder(spark, "clustered"), ["date", "transaction_id"], ["customer_id"])
+    return spark.read.parquet(path)
+
+
+def clustered_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quarter of the clustered fact; row groups of other dates are skipped."""
+    return sales_by_segment(_clustered(spark, sf_dir).where("date >= DATE'1996-04-01' AND date < DATE'1996-07-01'"))
+
+
+def clustered_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales of one customer, the one with the least id, looked up in the clustered fact."""
+    fact = _clustered(spark, sf_dir)
+    least = fact.agg(F.min("customer_id")).first()[0]
+    found = fact.where(F.col("customer_id") == least)
+    return found.select("customer_id", "transaction_id", "sku", "store_id", "quantity", "total_amount", "date")
+
+
 def saved_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = sales_by_segment(star_sales(spark, sf_dir, "segments"), share=True)
     path = save_result(shares, _new_folder(spark, "saved"), "customer_segments", one_file=True)
@@ -528,6 +573,10 @@ QUERIES: dict[str, Query] = {
     "chunked_fact": chunked_fact,
     "mixed_chunks": mixed_chunks,
     "rewritten_month": rewritten_month,
+    "bucketed_flat_sales": bucketed_flat_sales,
+    "bucketed_cohorts": bucketed_cohorts,
+    "clustered_quarter": clustered_quarter,
+    "clustered_customer": clustered_customer,
     "published_segments": published_segments,
     "published_twice": published_twice,
     "filtered_fact": filtered_fact,

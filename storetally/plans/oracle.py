@@ -365,6 +365,13 @@ ORACLE |= {
     "pipeline_one_scan_series": ORACLE["saved_time_series"],
     "run_metrics_observed": ORACLE["run_metrics"],
     "mixed_chunks": ORACLE["monthly_sales_growth"],
+    "bucketed_flat_sales": ORACLE["flat_sales"],
+    "bucketed_cohorts": ORACLE["customer_cohorts"],
+    "clustered_quarter": ORACLE["pruned_fact"],
+    "clustered_customer": with_sales("""
+        SELECT customer_id, transaction_id, sku, store_id, quantity, CAST(amount AS DOUBLE) AS total_amount,
+               CAST(ts AS DATE) AS date
+        FROM sales WHERE customer_id = (SELECT MIN(customer_id) FROM sales)"""),
     "published_segments": ORACLE["sales_by_segment"],
     "published_twice": f"{ORACLE['sales_by_segment']} UNION ALL ({ORACLE['sales_by_segment']})",
     "rewritten_month": ORACLE["partitioned_fact"].replace(

@@ -28,9 +28,19 @@ def build_session(app_name: str = "storetally", **extra: str) -> SparkSession:
 
 
 def shared_base(spark: SparkSession) -> str:
-    """The folder for intermediate data that the cluster names: `spark.checkpoint.dir`, else the warehouse's."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_runs"
-    return base.rstrip("/")
+    """The folder for intermediate data that the cluster names: `spark.checkpoint.dir`, else the warehouse's.
+
+    On a cluster a warehouse on the local disk would be another folder on each machine, so it is refused.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    place = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    scheme = place.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{warehouse}/_runs"
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

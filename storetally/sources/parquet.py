@@ -7,6 +7,8 @@ pruning; `keep` caches chosen columns where several analyses share them.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -37,6 +39,10 @@ CHUNKS = {
 MASTERS = {"stores": "stores_master.parquet", "products": "products_master.parquet"}
 
 FOOTERS_AT_ONCE = 16
+# The bucket in the name of a file that Spark wrote.
+BUCKET = re.compile(r"_(\d+)(?:\.c\d+)?\.[a-z]")
+# A bucket of so many times the median one is uneven.
+UNEVEN = 5.0
 SMALL_INTEGERS = (ByteType, ShortType, IntegerType)
 WIDENS = {
     LongType: SMALL_INTEGERS,
@@ -109,6 +115,45 @@ def load_partitioned(spark: SparkSession, path: str, table: str = "transactions"
     return conform(spark.read.parquet(path), table)
 
 
+def bucket_bytes(spark: SparkSession, path: str) -> dict[int, int]:
+    """Bytes of each bucket of a folder written by `save_bucketed`, from the file listing; empty ones are absent."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found: dict[int, int] = {}
+    for status in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder):
+        named = BUCKET.search(status.getPath().getName())
+        if named:
+            found[int(named[1])] = found.get(int(named[1]), 0) + status.getLen()
+    return found
+
+
+def load_bucketed(spark: SparkSession, path: str, by: str, buckets: int, uneven: float = UNEVEN) -> DataFrame:
+    """A folder written by `save_bucketed`, so that joins and groups on `by` need no shuffle.
+
+    Two such tables join without one if their number of buckets is the same. A bucket is the work of
+    one task. So if one has more than `uneven` times the bytes of the median bucket and more than Spark's
+    threshold for a skewed partition, for it holds a hot key, the folder is read as plain files: Spark then
+    shuffles on `by` where it must, and AQE splits the hot key in joins.
+    """
+    sizes = sorted(bucket_bytes(spark, path).values())
+    plain = spark.read.parquet(path)
+    least = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+    )
+    if not sizes or (sizes[-1] > least and sizes[-1] > uneven * sizes[len(sizes) // 2]):
+        return plain
+    name = f"storetally_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in plain.schema)
+    place = path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{by}`) INTO {buckets} BUCKETS LOCATION '{place}'"
+    )
+    try:
+        return spark.table(name)
+    finally:
+        # The frame has found its files; the folder is not the catalog's.
+        spark.sql(f"DROP TABLE {name}")
+
+
 def load_stores(spark: SparkSession, path: str) -> DataFrame:
     return conform(spark.read.parquet(f"{path.rstrip('/')}/{MASTERS['stores']}"), "stores")
 

@@ -5,6 +5,7 @@ import json
 import subprocess
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 
 import pandas as pd
 import pyarrow as pa
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 from fixtures import rows
 from storetally.plans.pipeline import build_flat, run_flat, run_pipeline
-from storetally.session import run_folder
-from storetally.sinks.facts import save_chunks, save_partitioned
+from storetally.session import run_folder, shared_base
+from storetally.sinks.facts import save_bucketed, save_chunks, save_clustered, save_partitioned
 from storetally.sinks.results import run_metrics, save_result
 from storetally.sources import parquet
 
@@ -249,3 +250,63 @@ def test_command_line(star, tmp_path):
     )
     assert done.returncode == 0, done.stderr[-2000:]
     assert json.loads(done.stdout)["transaction_count"] == 80
+
+
+def test_buckets_hold_what_was_written_last(spark, tmp_path):
+    path = str(tmp_path / "it's a fact")
+    first = spark.createDataFrame([(None, 1.0), (1, 2.0), (1, None)], "key long, `an amount` double")
+    for fact in (spark.range(50).selectExpr("id AS key", "1D AS `an amount`"), first):
+        save_bucketed(fact, path, "key", 4)
+    found = parquet.load_bucketed(spark, path, "key", 4)
+    assert sorted(map(str, found.collect())) == sorted(map(str, first.collect()))
+    assert found.schema.names == ["key", "an amount"]
+    assert not [one for one in spark.catalog.listTables() if one.name.startswith("storetally_")]
+    save_bucketed(first.limit(0), path, "key", 4)
+    empty = parquet.load_bucketed(spark, path, "key", 4)
+    assert empty.count() == 0 and empty.schema.names == ["key", "an amount"]
+
+
+def test_uneven_buckets_are_read_as_files(spark, tmp_path):
+    """A hot key is left to the shuffles, which can be split; the rows are the same."""
+    threshold = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    before = spark.conf.get(threshold)
+    keys = "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS key"
+    path = save_bucketed(spark.range(30_000).selectExpr(keys, "rand(1) AS amount"), str(tmp_path / "hot"), "key", 32)
+    sizes = parquet.bucket_bytes(spark, path)
+    assert len(sizes) == 32 and max(sizes.values()) > 5 * sorted(sizes.values())[16]
+    try:
+        for limit, bucketed in (("1GB", True), ("1KB", False)):
+            spark.conf.set(threshold, limit)
+            found = parquet.load_bucketed(spark, path, "key", 32)
+            plan = found.groupBy("key").count()._jdf.queryExecution().executedPlan().toString()
+            assert ("hashpartitioning(key" not in plan) == bucketed
+            assert found.where("key = 0").count() == 10_000
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_clustered_files_are_bounded_and_replaced(spark, tmp_path):
+    path = str(tmp_path / "clustered")
+    hot = spark.range(5_000).selectExpr("DATE'2024-01-01' AS date", "id", "CAST(NULL AS STRING) AS customer_id")
+    for fact in (spark.range(7).selectExpr("current_date() AS date", "id", "'a' AS customer_id"), hot):
+        save_clustered(fact, path, ["date", "id"], ["customer_id"], rows=300)
+    files = list(Path(path).glob("part-*.parquet"))
+    assert sum(pq.read_metadata(one).num_rows for one in files) == 5_000
+    assert max(pq.read_metadata(one).num_rows for one in files) <= 300
+    save_clustered(hot.limit(0), path, ["date", "id"], ["customer_id"])
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_local_warehouse_of_a_cluster_is_refused(spark, tmp_path):
+    def session(master, **conf):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda name, default=None: conf.get(name.split(".")[1], default)),
+            sparkContext=SimpleNamespace(master=master),
+            _jvm=spark._jvm,
+            _jsc=spark._jsc,
+        )
+
+    assert shared_base(session("local[8]", sql=str(tmp_path))) == f"{tmp_path}/_runs"
+    assert shared_base(session("spark://host:7077", sql=str(tmp_path), checkpoint="/shared/")) == "/shared"
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        shared_base(session("spark://host:7077", sql=str(tmp_path)))

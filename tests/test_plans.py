@@ -15,6 +15,7 @@ from storetally.operators.cohorts import customer_cohorts
 from storetally.operators.flatten import flatten
 from storetally.operators.headline import basic_stats
 from storetally.plans.testdata import star_sales, table
+from storetally.sinks.facts import save_clustered
 
 
 def plan_of(df) -> str:
@@ -38,6 +39,7 @@ def settings(spark, **values):
 
 WRITING = {"chunked_fact", "filtered_fact", "recursive_fact", "partitioned_fact", "pruned_fact", "appended_segments"}
 WRITING |= {"mixed_chunks", "rewritten_month", "published_segments", "published_twice", "run_metrics_observed"}
+WRITING |= {"bucketed_flat_sales", "bucketed_cohorts", "clustered_quarter", "clustered_customer"}
 WRITING |= {"item_sequence", "regional_star", "regional_star_unknown"} | {n for n in QUERIES if n.startswith("pipeline_")}
 
 
@@ -126,3 +128,30 @@ def test_growth_below_a_day_reads_the_fact_once(spark):
     growth.collect()
     final = growth._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan parquet") == 1
+
+
+def test_buckets_are_joined_and_grouped_without_a_shuffle(spark):
+    """Neither side of the join, nor the fact by customer, is dealt out again."""
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        flat, cohorts = (plan_of(QUERIES[name](spark, SF_DIR)) for name in ("bucketed_flat_sales", "bucketed_cohorts"))
+    assert "hashpartitioning(transaction_id" not in flat and flat.count("Bucketed: true") == 2
+    assert "hashpartitioning(customer_id" not in cohorts and "CartesianProduct" not in flat + cohorts
+
+
+def rows_scanned(df) -> int:
+    """Rows of the row groups that the scan did not skip."""
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def test_clustered_fact_is_skipped(spark, tmp_path):
+    path = save_clustered(
+        star_sales(spark, SF_DIR, "header"), str(tmp_path / "fact"), ["date", "transaction_id"], ["customer_id"], rows=1000
+    )
+    fact = spark.read.parquet(path)
+    customer = fact.where("customer_id = 4")
+    assert 0 < customer.count() <= rows_scanned(customer) < 60_000 / 2
+    april = fact.where("date >= DATE'1996-04-01' AND date < DATE'1996-05-01'")
+    assert 0 < april.count() <= rows_scanned(april) < 60_000 / 10
+    assert fact.count() == 60_000
