@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,6 +26,9 @@ from storetally.sinks.facts import save_chunks
 from storetally.sinks.results import observed, observed_metrics, save_result
 from storetally.sources import parquet
 
+# Bytes of the fact, or of its totals, that a task of the one-scan job reads at most (a larger row group is one task's).
+SPLIT_BYTES = 32 << 20
+
 LOADERS = {
     "chunks": parquet.load_chunks,
     "mixed": parquet.load_mixed_chunks,
@@ -64,9 +69,11 @@ def run_pipeline(
     totals_path = None
     if one_scan:
         totals_path = run_folder(spark, "totals")
-        transactions, amount = daily_totals(transactions, window, totals_path)
+        with _small_splits(spark):
+            transactions, amount = daily_totals(transactions, window, totals_path)
     try:
-        paths, watch = save_analyses(transactions, stores, output_path, window, amount)
+        with _small_splits(spark) if one_scan else nullcontext():
+            paths, watch = save_analyses(transactions, stores, output_path, window, amount)
     finally:
         if totals_path:
             remove_folder(spark, totals_path)
@@ -81,6 +88,23 @@ def run_pipeline(
     return first_row(summary)
 
 
+@contextmanager
+def _small_splits(spark: SparkSession) -> Iterator[None]:
+    """Scans that run inside read `SPLIT_BYTES` a task, or less if the cluster says so.
+
+    Where customers seldom buy twice a day, a task that totals a split holds a wide row for nearly
+    every sale in it, so its memory goes with the split, not with the result.
+    """
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(setting, f"{min(size, SPLIT_BYTES)}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def daily_totals(transactions: DataFrame, window: str, path: str) -> tuple[DataFrame, Sums]:
     """Totals per day, window, store, segment and customer, written to `path`: a fact for all four analyses.
 

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from storetally.plans import pipeline
 from storetally.plans.pipeline import daily_totals, run_pipeline
 from storetally.sinks import published
 from storetally.sinks.facts import save_partitioned
@@ -116,3 +117,32 @@ def test_totals_scan_the_fact_once(spark, star, tmp_path):  # noqa: F811
     totals, sums = daily_totals(fact, "1 month", str(tmp_path / "totals"))
     assert "transactions_chunk" not in totals._jdf.queryExecution().executedPlan().toString()
     assert sums.tallied and totals.agg(F.sum("row_count")).first()[0] == 80
+
+
+def test_one_scan_reads_small_splits(spark, star, tmp_path, monkeypatch):  # noqa: F811
+    """A task of the one-scan job takes few of the chunks, however few cores the cluster has."""
+    sales = parquet.load_chunks(spark, str(star))
+    for i in range(32):
+        sales.coalesce(1).write.parquet(str(tmp_path / "many" / f"transactions_chunk_{i:04}.parquet"))
+    for name in ("stores_master.parquet", "products_master.parquet"):
+        (tmp_path / "many" / name).symlink_to(star / name)
+    seen = []
+
+    def totals(transactions, *others):
+        seen.append(transactions.rdd.getNumPartitions())
+        return daily_totals(transactions, *others)
+
+    monkeypatch.setattr(pipeline, "daily_totals", totals)
+    setting, cores = "spark.sql.files.maxPartitionBytes", "spark.sql.leafNodeDefaultParallelism"
+    before = spark.conf.get(setting)
+    spark.conf.set(cores, "1")
+    try:
+        for most in (before, "8m"):
+            spark.conf.set(setting, most)
+            run_pipeline(spark, str(tmp_path / "many"), str(tmp_path / "output"), one_scan=True)
+            assert spark.conf.get(setting) == most
+    finally:
+        spark.conf.set(setting, before)
+        spark.conf.unset(cores)
+    # A file counts at least 4 MB.
+    assert seen[0] >= 4 and seen[1] >= 16
