@@ -4,7 +4,7 @@ Base spans are matches of four patterns (email, ip, card, phone) that pass their
 checks. On top of them, corpus co-occurrence tells how strongly a term reveals
 an entity. All shares are shares of documents (rows): p(t) of those that hold term t, p(e) of
 those that hold entity e, p(t, e) of those that hold t near e, that is within `NEAR` characters before
-or after it, across line breaks, as far as the next match of e's pattern. Then
+or after it, across line breaks and other matches. Then
 
     disclosure(t, e) = PMI(t; e) / IC(e) = log(p(t, e) / (p(t) p(e))) / -log p(e)
 
@@ -28,6 +28,8 @@ from storetally.llm.texts import fresh, shared_checkpoint, table
 KINDS = ("email", "ip", "card", "phone")
 LEAST_DOCUMENTS = 3
 NEAR = 120
+# Matches of one kind, with the text before them, that fill what is near: each has two characters at least.
+REACH = NEAR // 2 + 1
 GENERALISE = 0.9
 REMOVE = 0.99
 # Documents with terms to replace are joined by broadcast up to so many rows.
@@ -155,36 +157,57 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))
 
 
-def _near(text: Column, kind: str) -> Column:
-    """Array of (entity, words): the valid matches of one kind, each with the text near it.
+def _placed(text: Column, kind: str) -> Column:
+    """Array of (gap, match, after, place): the matches of one kind, valid or not, each with the text up to its neighbours.
 
-    A word that reaches across the border of what is near is left out.
+    The last has no match.
     """
     gaps = F.split(text, _PATTERNS[kind], -1)
     matches = F.regexp_extract_all(text, F.lit(_PATTERNS[kind]), F.lit(0))
-    # Beside each match the text before and after it.
     pieces = F.arrays_zip(gaps.alias("gap"), matches.alias("match"), F.slice(gaps, 2, 1 << 30).alias("after"))
+    numbered = F.transform(
+        pieces,
+        lambda piece, place: F.struct(piece["gap"].alias("gap"), piece["match"].alias("match"), piece["after"].alias("after"), place.alias("place")),
+    )
+    return F.when(_guard(kind, text), numbered).otherwise(
+        F.array().cast("array<struct<gap:string,match:string,after:string,place:int>>")
+    )
+
+
+def _near(pieces: Column, kind: str) -> Column:
+    """Array of (entity, words): the valid ones of `pieces` (a column, see `_placed`), each with the words near it.
+
+    What is near may hold other matches. A word that reaches across its border is left out.
+    """
 
     def around(piece: Column) -> Column:
-        gap, after = piece["gap"], piece["after"]
-        left = F.when(F.length(gap) > NEAR, F.regexp_replace(F.right(gap, F.lit(NEAR)), r"^\p{L}+", "")).otherwise(gap)
-        right = F.when(F.length(after) > NEAR, F.regexp_replace(F.left(after, F.lit(NEAR)), r"\p{L}+$", "")).otherwise(after)
+        # Neighbours enough to fill what is near, each cut to the part that can be in it.
+        first = F.greatest(piece["place"] - REACH, F.lit(0))
+        left = F.transform(
+            F.slice(pieces, first + 1, piece["place"] - first), lambda one: F.right(F.concat(one["gap"], one["match"]), F.lit(NEAR + 1))
+        )
+        right = F.transform(
+            F.slice(pieces, piece["place"] + 2, F.lit(REACH)), lambda one: F.left(F.concat(one["match"], one["after"]), F.lit(NEAR + 1))
+        )
+        before = F.concat(F.array_join(left, ""), F.right(piece["gap"], F.lit(NEAR + 1)))
+        after = F.concat(F.left(piece["after"], F.lit(NEAR + 1)), F.array_join(right, ""))
+        before = F.when(F.length(before) > NEAR, F.regexp_replace(F.right(before, F.lit(NEAR)), r"^\p{L}+", "")).otherwise(before)
+        after = F.when(F.length(after) > NEAR, F.regexp_replace(F.left(after, F.lit(NEAR)), r"\p{L}+$", "")).otherwise(after)
         return F.struct(
             _entity(F.lit(kind), piece["match"]).alias("entity"),
-            _terms(F.concat_ws(" ", left, right)).alias("terms"),
+            _terms(F.concat_ws(" ", before, after)).alias("terms"),
         )
 
-    nothing = F.array().cast("array<struct<entity:string,terms:array<string>>>")
     valid = F.filter(pieces, lambda piece: piece["match"].isNotNull() & _valid(kind, piece["match"]))
-    return F.when(_guard(kind, text), F.transform(valid, around)).otherwise(nothing)
+    return F.transform(valid, around)
 
 
 def disclosing_terms(docs: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the terms that reveal an entity, of all texts of `docs`."""
-    found = docs.filter(F.col("text").rlike("[0-9@]")).select(
-        F.concat(*(_near(F.col("text"), kind) for kind in KINDS)).alias("found")
-    )
-    found = shared_checkpoint(found.filter(F.size("found") > 0))
+    placed = docs.filter(F.col("text").rlike("[0-9@]")).select(*(_placed(F.col("text"), kind).alias(kind) for kind in KINDS))
+    found = placed.select(F.concat(*(_near(F.col(kind), kind) for kind in KINDS)).alias("found"))
+    # Filtered when kept: Spark would push the filter below and take the matches again for each of them.
+    found = shared_checkpoint(found).filter(F.size("found") > 0)
     entities = (
         found.select(F.explode(F.array_distinct(F.transform("found", lambda one: one["entity"]))).alias("entity"))
         .groupBy("entity")
