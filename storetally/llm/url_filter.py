@@ -109,7 +109,8 @@ def propagate(
     if not total:
         return state.drop("moving")
     for _ in range(rounds_needed(tolerance, damping)):
-        moved = state.filter("moving > 0").join(links, ["kind", "host"]).select(
+        # Merged: the driver would collect and keep a broadcast table a round.
+        moved = state.filter("moving > 0").join(links.hint("merge"), ["kind", "host"]).select(
             "kind", F.col("target").alias("host"), (F.col("moving") * F.col("weight") * damping).alias("mass")
         )
         passed = (
