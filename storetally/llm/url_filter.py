@@ -25,6 +25,8 @@ DAMPING = 0.85
 TOLERANCE = 1e-4
 MOST_DISTRUST = 0.5
 PRIOR = 0.2
+# Rows of the host graph that a task of a round takes.
+ROWS_PER_TASK = 100_000
 
 # Rules of the registered query: host, path, verdict. Fixed values.
 RULES = (
@@ -100,14 +102,17 @@ def propagate(
 
     A kept table holds what each host has and what it has not passed on yet. A round passes the latter
     on; what then remains shrinks by the damping at least, faster where hosts have no links. Ends when less
-    than `tolerance` of all mass is on its way: so much is missing in the result.
+    than `tolerance` of all mass is on its way: so much is missing in the result. Each step of a round, and
+    so each kept table, has as many tasks as the rows of the graph need, however many partitions a shuffle has.
+    Both tables are counted first, so give kept ones.
     """
-    links = edges.withColumnRenamed("source", "host")
     first = (F.col("mass") * (1 - damping)).alias("mass")
     state = seeds.select("kind", "host", first).withColumn("moving", F.col("mass"))
-    total = seeds.agg(F.sum("mass")).first()[0]
+    total, rows = seeds.agg(F.sum("mass"), F.count("*")).first()
     if not total:
         return state.drop("moving")
+    tasks = math.ceil((rows + edges.count()) / ROWS_PER_TASK)
+    links = shared_checkpoint(edges.withColumnRenamed("source", "host").coalesce(tasks))
     for _ in range(rounds_needed(tolerance, damping)):
         # Merged: the driver would collect and keep a broadcast table a round.
         moved = state.filter("moving > 0").join(links.hint("merge"), ["kind", "host"]).select(
@@ -116,8 +121,10 @@ def propagate(
         passed = (
             state.select("kind", "host", "mass", F.lit(0.0).alias("moving"))
             .union(moved.withColumn("moving", F.col("mass")))
+            .coalesce(tasks)
             .groupBy("kind", "host")
             .agg(F.sum("mass").alias("mass"), F.sum("moving").alias("moving"))
+            .coalesce(tasks)
         )
         # A table and a small plan for each round; what moves is summed while the table is written.
         watch = Observation()

@@ -108,3 +108,41 @@ def test_rounds_broadcast_nothing(spark, monkeypatch, tmp_path):
     found = {row["host"]: row["mass"] for row in url_filter.propagate(edges, seeds, tolerance=0.3).collect()}
     assert found["a"] > found["b"] > 0
     assert len(plans) > 3 and not [plan for plan in plans if "Broadcast" in plan]
+
+
+def test_rounds_have_tasks_by_rows(spark, monkeypatch):
+    """However many partitions shuffles have: few rows take few tasks a round; several tasks give the same masses."""
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    links = [("allow", f"h{i}", f"h{j % 30}", 0.5) for i in range(30) for j in (3 * i + 1, 7 * i + 2)]
+    parts, context = [], spark.sparkContext
+
+    def kept(frame):
+        found = shared_checkpoint(frame)
+        parts.append(found.rdd.getNumPartitions())
+        return found
+
+    def run(rows):
+        monkeypatch.setattr(url_filter, "ROWS_PER_TASK", rows)
+        parts.clear()
+        context.setJobGroup(f"rows {rows}", "rounds")
+        edges = spark.createDataFrame(links, "kind string, source string, target string, weight double").repartition(40)
+        seeds = spark.createDataFrame([("allow", "h1", 2.0), ("allow", "h5", 1.0)], "kind string, host string, mass double")
+        found = {row["host"]: row["mass"] for row in propagate(edges, seeds, tolerance=0.01).collect()}
+        status = context.statusTracker()
+        stages = [status.getStageInfo(i) for job in status.getJobIdsForGroup(f"rows {rows}") for i in status.getJobInfo(job).stageIds]
+        return found, sum(stage.numTasks for stage in stages if stage)
+
+    monkeypatch.setattr(url_filter, "shared_checkpoint", kept)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        whole, tasks = run(100_000)
+        assert len(parts) > 20 and set(parts) == {1} and tasks < 20 * 40
+        dealt, _ = run(13)
+        assert max(parts) == 5  # 62 rows
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert dealt == pytest.approx(whole, rel=1e-9) and sum(whole.values()) == pytest.approx(3.0, rel=0.02)
