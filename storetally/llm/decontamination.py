@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from storetally.llm.texts import (
     fresh,
     mix,
+    portions,
     shared_checkpoint,
     shared_table,
     shingle_hashes,
@@ -148,7 +149,7 @@ def _search(index: Index, size: int):
 
 def _marked(index: Index, size: int, place: int, mark: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = np.zeros(batch.num_rows, dtype=bool)
             for row, _, _ in _hits(index, size, batch.column(place)):
                 found[row] = True

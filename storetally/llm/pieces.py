@@ -8,7 +8,7 @@ byte pieces, so that decoding gives the text back exactly.
 
 Pieces that hold a word boundary mark have it only in front, so a text is cut
 before each run of marks; words repeat, and a task keeps the segmentations of
-the words it has met: the last `KEPT_WORDS`, and as many before them. A vocabulary with other pieces is
+the words it has met: the last `KEPT_WORDS`, and as many before them, until it ends. A vocabulary with other pieces is
 handled too, by segmenting whole texts.
 """
 
@@ -27,12 +27,13 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from storetally.llm.texts import table
+from storetally.llm.texts import portions, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-KEPT_WORDS = 300_000
+# A word takes about 270 bytes with its ids, and an executor has a Python worker for each core.
+KEPT_WORDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -83,6 +84,10 @@ class Codec:
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drops the segmentations; the automaton stays."""
+        self.kept, self.older = {}, {}
+
     @cached_property
     def spellings(self) -> list[bytes]:
         """The bytes of each id; a mark is a space."""
@@ -175,7 +180,7 @@ _CODECS: dict[int, Codec] = {}
 
 
 def _codec(vocabulary: Vocabulary) -> Codec:
-    """One codec per Python worker, so that its words outlast a task."""
+    """One codec per Python worker, so that the automaton outlasts a task; its words would stay through later stages."""
     key = hash((vocabulary.size, vocabulary.unknown, tuple(vocabulary.pieces.items())))
     if key not in _CODECS:
         _CODECS.clear()
@@ -183,21 +188,11 @@ def _codec(vocabulary: Vocabulary) -> Codec:
     return _CODECS[key]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", round_trip: str = "round_trip") -> DataFrame:
-    """`docs` with the ids of each whole text (array of int) and whether decoding them gives the text back.
-
-    A NULL or empty text has no ids and comes back as empty. All rows stay, repeated
-    ones too, with their other columns; an empty table stays empty. `ids` and
-    `round_trip` must be names that `docs` does not have.
-    """
-    place = docs.columns.index(text)
-    schema = docs.selectExpr("*", f"CAST(array() AS array<int>) AS `{ids}`", f"true AS `{round_trip}`").schema
-
+def _encoded(vocabulary: Vocabulary, place: int, ids: str, round_trip: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                rows = batch.slice(begin, 500)
+        try:
+            for rows in portions(batches):
                 texts = [one or "" for one in rows.column(place).to_pylist()]
                 found = [codec.encode(one) for one in texts]
                 same = [codec.decode(one) == whole for one, whole in zip(found, texts)]
@@ -205,10 +200,25 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
                 values = pa.array(np.frombuffer(b"".join(found), dtype="<i4"))
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(same)],
-                    [*batch.schema.names, ids, round_trip],
+                    [*rows.schema.names, ids, round_trip],
                 )
+        finally:
+            codec.forget()
 
-    return docs.mapInArrow(run, schema)
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", round_trip: str = "round_trip") -> DataFrame:
+    """`docs` with the ids of each whole text (array of int) and whether decoding them gives the text back.
+
+    A NULL or empty text has no ids and comes back as empty. All rows stay, repeated
+    ones too, with their other columns; an empty table stays empty. `ids` and
+    `round_trip` must be names that `docs` does not have.
+    """
+    place = docs.columns.index(text)
+    schema = docs.selectExpr("*", f"CAST(array() AS array<int>) AS `{ids}`", f"true AS `{round_trip}`").schema
+
+    return docs.mapInArrow(_encoded(vocabulary, place, ids, round_trip), schema)
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:

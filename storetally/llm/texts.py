@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storetally.session import remove_at_end, shared_base
 
-SLICE_BYTES = 1 << 20
+# A Python worker holds about 90 bytes for each of these while it hashes, and the powers for as long as it lives.
+SLICE_BYTES = 1 << 18
+# Rows of whole texts that go back to Spark at once.
+PORTION_ROWS = 500
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 # Bytes that words are made of: all but white space; or letters, digits and bytes beyond ASCII.
@@ -63,6 +66,13 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
         row = stop
 
 
+def portions(batches: Iterator[pa.RecordBatch], rows: int = PORTION_ROWS) -> Iterator[pa.RecordBatch]:
+    """All rows in runs of at most `rows`, so that the executor never holds a large batch of results."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def word_hashes(
     data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_SPACE, prefix: int = 0
 ) -> tuple[np.ndarray, np.ndarray]:

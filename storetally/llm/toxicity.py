@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storetally.llm.texts import LETTERS, fresh, mix, slices, table, word_hashes
+from storetally.llm.texts import LETTERS, fresh, mix, portions, slices, table, word_hashes
 
 SAMPLE = 20_000
 BITS = 18
@@ -212,7 +212,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", name: str = "sc
     schema = docs.select("*", F.lit(0.0).alias(name)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = np.zeros(batch.num_rows)
             for row, rows, buckets, of in _terms(batch.column(place)):
                 found[row : row + rows] = machine.scores(buckets, of, rows)

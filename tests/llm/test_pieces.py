@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import MIDDLE, awkward, frame, read
 
@@ -79,3 +80,21 @@ def test_rows_and_columns_stay(spark, vocabulary):
     assert len(decoded) == len(rows)
     assert all(row["round_trip"] and row["decoded"] == (row["text"] or "") for row in decoded)
     assert p.encode(docs.limit(0), vocabulary, ids="piece_ids").collect() == []
+
+
+def test_words_end_with_their_task(vocabulary):
+    """A Python worker lives on through later stages; what it keeps counts as the executor's memory there."""
+    texts = [f"word{i} other{i % 7}" for i in range(1200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    found = list(p._encoded(vocabulary, 0, "ids", "same")(iter([batch])))
+    codec = p._codec(vocabulary)
+    assert not codec.kept and not codec.older
+    assert [one for rows in found for one in rows.column(1).to_pylist()] == [ids(codec, text) for text in texts]
+
+
+def test_words_end_with_a_task_that_stops_early(vocabulary):
+    batch = pa.RecordBatch.from_arrays([pa.array(["some words"] * 1200)], ["text"])
+    task = p._encoded(vocabulary, 0, "ids", "same")(iter([batch]))
+    next(task)
+    task.close()
+    assert not p._codec(vocabulary).kept
