@@ -193,11 +193,14 @@ def shared_checkpoint(frame: DataFrame) -> DataFrame:
         return frame.checkpoint(eager=True)
 
 
-def shared_table(frame: DataFrame, label: str) -> DataFrame:
-    """Like `shared_checkpoint`, for larger data: written as Parquet and read again; removed when Python ends."""
+def shared_table(frame: DataFrame, label: str, rows: int = 0) -> DataFrame:
+    """Like `shared_checkpoint`, for larger data: written as Parquet and read again; removed when Python ends.
+
+    A file has at most `rows` rows, if given: a reader holds thousands at once, which is too much of large ones.
+    """
     spark = frame.sparkSession
     path = f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
     with _own_shuffles(spark):
-        frame.write.parquet(path)
+        (frame.write.option("maxRecordsPerFile", rows) if rows else frame.write).parquet(path)
     remove_at_end(spark, path)
     return spark.read.parquet(path)

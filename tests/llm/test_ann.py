@@ -3,6 +3,7 @@ import pytest
 from corpus import MIDDLE, read
 
 from storetally.llm import ann
+from storetally.llm.texts import shared_table
 
 
 def plain(ids, vectors, every, nearest):
@@ -61,3 +62,42 @@ def test_awkward_vectors(spark, awkward):
 
 def test_empty_table(spark, awkward):
     assert ann.nearest_vectors(awkward.limit(0)).collect() == []
+
+
+def test_blocks_and_graphs_meet_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 100)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 10)
+    vectors = np.random.default_rng(2).normal(size=(2000, 8))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    found = ann.nearest_vectors(table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("CartesianProduct") == 1
+    below = plan[plan.index("CartesianProduct") :]
+    # No query is copied to every shard, and neither side is held as a whole.
+    assert "Exchange" not in below and "Generate" not in below and below.count("FileScan parquet") == 2
+    assert recall(found.collect(), plain(np.arange(2000), vectors, 50, 5)) == 1
+
+
+def test_repeated_id_takes_one_rank(spark):
+    rows = [(0, [1.0, 0.0])] + [(7, [1.0, 0.001 * i]) for i in range(1, 9)] + [(i, [1.0, 0.1 * i]) for i in range(1, 5)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = [(row["rank"], row["vec_id"]) for row in ann.nearest_vectors(table).orderBy("rank").collect()]
+    assert found == [(1, 7), (2, 1), (3, 2), (4, 3), (5, 4)]
+
+
+def test_a_file_holds_few_graphs(spark):
+    kept = shared_table(spark.range(10, numPartitions=1), "few", 4)
+    assert len(kept.inputFiles()) == 3 and kept.count() == 10
+
+
+def test_links_of_a_hub():
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=16)
+    vectors = ann._units(np.concatenate([[centre], 0.9 * centre + rng.normal(size=(900, 16))]))
+    links = ann.build_layer(vectors, 32)
+    for row, own in enumerate(links):
+        own = own[own >= 0]
+        assert len(set(own.tolist())) == len(own) and row not in own
+        sims = vectors[own] @ vectors[row]
+        assert (np.diff(sims) <= 1e-6).all()
+    assert (links[0] >= 0).all()
