@@ -40,7 +40,7 @@ SCORE_ROWS = 1 << 15
 # Queries that walk through a graph at once.
 SEARCH_ROWS = 128
 # Vectors of its beam that a query goes on from at once.
-STEPS = 8
+STEPS = 16
 # Graphs that a reader may hold at once, in a file; one at least.
 FILE_BYTES = 16 << 20
 NO_ID = np.iinfo(np.int64).min
