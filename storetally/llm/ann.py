@@ -42,7 +42,7 @@ SEARCH_ROWS = 128
 # Vectors of its beam that a query goes on from at once.
 STEPS = 16
 # Graphs that a reader may hold at once, in a file; one at least.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).min
 
 
